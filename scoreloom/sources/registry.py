@@ -117,7 +117,7 @@ def latest_models(models: DataFrame) -> DataFrame:
 def latest_importance(models: DataFrame, importance: DataFrame, model_type: str) -> DataFrame:
     """Importance rows of the newest model of one type."""
     newest = latest_models(models.where(F.col("model_type") == model_type))
-    return importance.join(newest, "model_name", "inner")
+    return importance.join(newest, "model_name", "left_semi")
 
 
 def select_by_importance(importance: DataFrame, minimum: float = 0.0) -> DataFrame:
