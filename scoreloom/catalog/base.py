@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.expressions import column
 from ..sources import tables
+from ..sources.workspace import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,6 +48,12 @@ def both(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return tables.snapshot(spark, folder, "TRAIN"), tables.snapshot(spark, folder, "TEST")
 
 
+def stored_both(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both labelled snapshots built in one scan and written once, for queries that pass over them often."""
+    table = stored(tables.snapshots(spark, folder), "snapshots")
+    return tuple(table.where(F.col("data_type") == t).drop("data_type") for t in ("TRAIN", "TEST"))
+
+
 # -- shared SQL -------------------------------------------------------------------------------
 
 SNAPSHOT = """

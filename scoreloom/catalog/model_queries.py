@@ -15,7 +15,7 @@ from ..plans.scoring import ScoringRun
 from ..sources import tables
 from ..sources.registry import ModelRegistry, model_name
 from ..sources.workspace import fresh_path, stored
-from .base import both, query
+from .base import query, stored_both
 
 SMALL = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5}
 SMALL_BOUNDS = {"max_depth": (2, 3), "learning_rate": (0.1, 0.2), "n_estimators": (3, 5), "subsample": (0.8, 1)}
@@ -23,7 +23,7 @@ MOMENT, LATER = datetime(2024, 1, 1, 9, 0, 0), datetime(2024, 1, 1, 10, 0, 0)
 
 
 def _prepared(spark, folder) -> Prepared:
-    prepared = prepare_development(*both(spark, folder))
+    prepared = prepare_development(*stored_both(spark, folder))
     return Prepared(stored(prepared.data, "prepared"), prepared.encoder)
 
 
@@ -124,7 +124,7 @@ def _development(spark, folder):
     run = DevelopmentRun(
         registry, fresh_path(spark, "output"), MOMENT, LATER, bounds=SMALL_BOUNDS, trials=1, parallelism=1
     )
-    return registry, run.run(*both(spark, folder))
+    return registry, run.run(*stored_both(spark, folder))
 
 
 @query("development_run")

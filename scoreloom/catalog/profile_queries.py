@@ -8,17 +8,17 @@ from ..functions.expressions import as_number, insert_column
 from ..operators import binning, ranges
 from ..sources import tables
 from ..sources.snapshots import write_table
-from ..sources.workspace import fresh_path
+from ..sources.workspace import fresh_path, stored
 from .base import (
     BINNED, NUMBER_BINS, NUMBERS, NUMERIC, SNAPSHOT, SUMMARY_SELECT, TEXT, TEXT_BINS, both, edges_sql,
-    measures_sql, profile_sql, query, rounded,
+    measures_sql, profile_sql, query, rounded, stored_both,
 )
 
 PROFILE = profile_sql()
 
 
 def _profile(spark, folder, **options) -> binning.Profile:
-    return binning.profile(*both(spark, folder), **options)
+    return binning.profile(*stored_both(spark, folder), **options)
 
 
 def _edge_rows(spark, edges: dict[str, list[float]]) -> DataFrame:
@@ -81,7 +81,7 @@ GROUP BY variable, value""",
 )
 def dist_prefix_sum(spark, folder):
     lines = tables.table(spark, folder, "lineitem").select(*LINE_NUMBERS)
-    cuts = ranges.split_points(lines, LINE_NUMBERS, ranges.RANGES // 4)
+    cuts = ranges.split_points(lines, LINE_NUMBERS, 256)
     points = sorted({p for values in cuts.values() for p in values})
     counts = (
         lines.unpivot([], list(LINE_NUMBERS), "variable", "value")
@@ -99,13 +99,13 @@ SELECT variable, CAST(row_number() OVER (PARTITION BY variable ORDER BY edge) AS
 
 @query("bin_quantile_edges", EDGES)
 def bin_quantile_edges(spark, folder):
-    return _edge_rows(spark, binning.quantile_edges(binning.tag_and_union(*both(spark, folder)), NUMERIC))
+    return _edge_rows(spark, binning.quantile_edges(binning.tag_and_union(*stored_both(spark, folder)), NUMERIC))
 
 
 @query("bin_quantile_edges_refined", EDGES)
 def bin_quantile_edges_refined(spark, folder):
     """The way large snapshots take: locate value ranges, refine them, count only inside them."""
-    rows = binning.tag_and_union(*both(spark, folder))
+    rows = binning.tag_and_union(*stored_both(spark, folder))
     return _edge_rows(spark, binning.quantile_edges(rows, NUMERIC, leaf_rows=100, n_ranges=8))
 
 
@@ -149,7 +149,7 @@ BIN_ASSIGN = (
 
 @query("bin_assign", BIN_ASSIGN)
 def bin_assign(spark, folder):
-    rows = tables.snapshots(spark, folder)
+    rows = stored(tables.snapshots(spark, folder), "snapshots")
     edges = binning.quantile_edges(rows, NUMERIC)
     return rows.select(
         "base_ym", "customer_id",

@@ -11,7 +11,7 @@ from ..operators import prepare, sample, validate
 from ..operators.prepare import FeatureEncoder
 from ..sources import snapshots as io, tables
 from ..sources.workspace import fresh_path
-from .base import SNAPSHOT, both, one_hot_sql, query
+from .base import SNAPSHOT, both, one_hot_sql, query, stored_both
 
 W = f"WITH {SNAPSHOT}"
 KEYS = "base_ym, customer_id, customer_hash"
@@ -291,7 +291,7 @@ def prep_split_exact(spark, folder):
     + one_hot_sql("part, customer_id", "pair") + ")",
 )
 def prep_common_features(spark, folder):
-    train, test = both(spark, folder)
+    train, test = stored_both(spark, folder)
     test = test.withColumn("segment", F.nullif("segment", F.lit("MACHINERY")))
     left, right = prepare.one_hot(train), prepare.one_hot(test)
     carried = (*DEFAULT_SPEC.keys, "PERF")
@@ -315,7 +315,7 @@ PREP_DEV = f"""{W}, tagged AS (
 
 @query("prep_dev", PREP_DEV)
 def prep_dev(spark, folder):
-    return prepare.prepare(*both(spark, folder)).data
+    return prepare.prepare(*stored_both(spark, folder)).data
 
 
 @query("prep_scoring", f"{W} {one_hot_sql(KEYS, 'score')}")

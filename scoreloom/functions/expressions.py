@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
@@ -14,6 +16,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def double_array(values: Iterable[float]) -> str:
+    """SQL text of a constant array; building one from thousands of literal columns is slow."""
+    return f"array({', '.join(f'{float(v)!r}D' for v in values)})"
+
+
 def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 

@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import config
 from ..config import DEFAULT_SPEC, SnapshotSpec
-from ..functions.expressions import as_number, column, divergence, ratio
+from ..functions.expressions import as_number, column, divergence, double_array, ratio
+from ..sources.workspace import stored
 from . import ranges
 from .prepare import OTHER_LEVEL, discover_levels
 
 TRAIN, TEST = "TRAIN", "TEST"
 TYPE = "data_type"
 LEAF_ROWS = 2_000_000
+EDGE_RANGES = 256
 INF = float("inf")
 
 
@@ -97,11 +99,11 @@ def _locate(pool: DataFrame, points: Mapping[str, list[float]], limits: Mapping[
 
     def entry(name: str) -> Column:
         number = column(name + "_range")
-        starts = F.array(F.lit(None).cast("double"), *[F.lit(p) for p in points[name]])
+        starts = F.expr(double_array(points[name]))
         return F.struct(
             number.alias("range"),
             column(name).alias("value"),
-            F.coalesce(column(name) != F.element_at(starts, number + 1), F.lit(True)).alias("inner"),
+            ((number == 0) | (column(name) != F.get(starts, number - 1))).alias("inner"),
         )
 
     counts = (
@@ -187,7 +189,7 @@ def quantile_edges(
     special_values: Sequence[float] = (),
     pool_rows: Mapping[str, int] | None = None,
     leaf_rows: int = LEAF_ROWS,
-    n_ranges: int = ranges.RANGES,
+    n_ranges: int = EDGE_RANGES,
 ) -> dict[str, list[float]]:
     """Inner edges per variable: for each q the largest value whose cumulative share is <= q.
 
@@ -280,14 +282,17 @@ class Bins:
         return sorted(special) + [(i, lo, hi) for i, (lo, hi) in enumerate(zip(framed, framed[1:]))]
 
 
-def assign_bin(x: Column, edges: Sequence[float], specials: Sequence[float] = ()) -> Column:
-    """Bin number of a double: right-closed intervals 0..k, special values -1, -2, ...; NULL stays NULL."""
-    chain = F.when(x.isNull(), F.lit(None).cast("int"))
+def assign_bin(x: Column, edges: Sequence[float], specials: Sequence[float] = (), kind: type = int) -> Column:
+    """Bin of a double: right-closed intervals 0..k, special values -1, -2, ...; NULL stays NULL.
+
+    ``kind`` is int or str, the type of the bin numbers.
+    """
+    chain = F.when(x.isNull(), F.lit(None))
     for i, v in enumerate(specials, 1):
-        chain = chain.when(x == F.lit(float(v)), F.lit(-i))
+        chain = chain.when(x == F.lit(float(v)), F.lit(kind(-i)))
     for i, edge in enumerate(edges):
-        chain = chain.when(x <= F.lit(float(edge)), F.lit(i))
-    return chain.otherwise(F.lit(len(edges)))
+        chain = chain.when(x <= F.lit(float(edge)), F.lit(kind(i)))
+    return chain.otherwise(F.lit(kind(len(edges))))
 
 
 def fit_bins(
@@ -319,7 +324,7 @@ def bin_counts(df: DataFrame, bins: Bins, target: str = DEFAULT_SPEC.target) ->
     per bin however the values are distributed.
     """
     numeric = {
-        n: assign_bin(as_number(df, n), bins.edges[n], bins.specials.get(n, ())).cast("string")
+        n: assign_bin(as_number(df, n), bins.edges[n], bins.specials.get(n, ()), str)
         for n in bins.numerical
     }
 
@@ -462,7 +467,10 @@ def select_variables(table: DataFrame, min_iv: float | None = None, max_psi: flo
 
 @dataclass(frozen=True)
 class Profile:
-    """Profile of two snapshots: fitted bins and per-bin counts."""
+    """Profile of two snapshots: fitted bins and per-bin counts.
+
+    All tables derive from the counts, which hold one row per data type, variable and bin.
+    """
 
     bins: Bins
     counts: DataFrame
@@ -489,11 +497,15 @@ def profile(
     scope: str = "pooled",
     **options,
 ) -> Profile:
-    """Profile all variables; bins come from both snapshots (``pooled``) or from ``train`` alone."""
+    """Profile all variables; bins come from both snapshots (``pooled``) or from ``train`` alone.
+
+    The counts are stored, so that the summary and the stability tables do not scan the snapshots
+    once each.
+    """
     for argument in (edges_from, scope):
         if argument not in ("pooled", "train"):
             raise ValueError("edges_from and scope must be 'pooled' or 'train'.")
     both = tag_and_union(train, test, spec)
     source = both if edges_from == "pooled" else both.where(F.col(TYPE) == TRAIN)
     bins = fit_bins(source, exclude=(spec.target, TYPE), **options)
-    return Profile(bins, bin_counts(both, bins, spec.target), scope)
+    return Profile(bins, stored(bin_counts(both, bins, spec.target), "bin_counts"), scope)

@@ -17,7 +17,7 @@ def roc_auc(
     score: str = "probability",
     label: str = DEFAULT_SPEC.target,
     groups: Sequence[str] = (),
-    n_ranges: int = ranges.RANGES,
+    rows_per_range: int = ranges.ROWS_PER_RANGE,
 ) -> DataFrame:
     """Exact area under the ROC curve, one row per group; tied scores count one half.
 
@@ -28,7 +28,7 @@ def roc_auc(
     rows = df.select(
         *[column(g) for g in groups], as_number(df, score).alias("score"), column(label).cast("int").alias("label")
     ).where(F.col("score").isNotNull() & F.col("label").isNotNull())
-    points = ranges.split_points(rows, ["score"], n_ranges)
+    points = ranges.split_points(rows, ["score"], ranges.range_count(df, rows_per_range))
     by_group = list(groups)
     per_score = (
         ranges.with_ranges(rows, points)

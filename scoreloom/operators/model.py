@@ -18,7 +18,7 @@ from .. import config
 from ..config import DEFAULT_SPEC
 from ..functions.expressions import column, quoted
 from ..sources.workspace import fresh_path, shared_folder
-from .evaluate import auc_value
+from .evaluate import auc_value, roc_auc
 from .score import with_probability
 
 log = logging.getLogger(__name__)
@@ -73,17 +73,43 @@ def _booster(model: PipelineModel) -> GBTClassificationModel:
     return model.stages[-1]
 
 
-def best_round(losses: Sequence[float], patience: int = config.PATIENCE) -> int:
-    """Number of rounds to keep: the best one before ``patience`` rounds without a gain."""
-    best, at = float("inf"), 0
-    for i, loss in enumerate(losses, 1):
-        if loss < best:
-            best, at = loss, i
+def best_round(gains: Sequence[float], patience: int = config.PATIENCE) -> int:
+    """Number of rounds to keep: the highest value before ``patience`` rounds without a rise."""
+    best, at = float("-inf"), 0
+    for i, value in enumerate(gains, 1):
+        if value > best:
+            best, at = value, i
         elif i - at >= patience:
             break
     return max(at, 1)
 
 
+def auc_per_round(booster: GBTClassificationModel, vectors: DataFrame) -> list[float]:
+    """Validation AUC after each round, from one pass over per-tree predictions.
+
+    The probability grows with the summed margin, so margins rank rows the same way.
+    """
+    df = vectors
+    for i, tree in enumerate(booster.trees):
+        df = tree.setFeaturesCol(FEATURES).setPredictionCol(f"tree{i}").transform(df)
+    steps = F.array(*[F.col(f"tree{i}") * F.lit(float(w)) for i, w in enumerate(booster.treeWeights)])
+    margins = F.aggregate(
+        steps,
+        F.array().cast("array<double>"),
+        lambda done, step: F.array_append(done, F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)) + step),
+    )
+    long = df.select(LABEL, F.posexplode(margins).alias("round", "margin"))
+    rows = roc_auc(long, "margin", LABEL, ["round"]).collect()
+    return [r["roc_auc"] if r["roc_auc"] is not None else 0.5 for r in sorted(rows)]
+
+
+def round_values(booster: GBTClassificationModel, vectors: DataFrame, stop_on: str) -> list[float]:
+    """One value per round, higher is better."""
+    if stop_on == "auc":
+        return auc_per_round(booster, vectors)
+    return [-loss for loss in booster.evaluateEachIteration(vectors)]
+
+
 def fit_model(
     train: DataFrame,
     validation: DataFrame | None,
@@ -92,14 +118,17 @@ def fit_model(
     target: str = DEFAULT_SPEC.target,
     patience: int = config.PATIENCE,
     seed: int = config.MODEL_SEED,
+    stop_on: str = "logloss",
 ) -> Fitted:
-    """Boosted trees, stopped by the validation loss.
+    """Boosted trees, stopped by the validation ``logloss`` or ``auc``.
 
     MLlib's own early stop ends at the first round without a gain. Here all rounds are fitted,
-    their validation losses read in one pass, and, if an earlier round was best, the model is
-    fitted again with that many rounds: with the same seed and rows its trees are the first trees
-    of the long fit.
+    the validation measure of each is read in one pass, and, if an earlier round was best, the
+    model is fitted again with that many rounds: with the same seed and rows its trees are the
+    first trees of the long fit.
     """
+    if stop_on not in ("logloss", "auc"):
+        raise ValueError("stop_on must be 'logloss' or 'auc'.")
     params = dict(params or {})
     settings = gbt_params(params)
     shared_folder(train.sparkSession)  # the learner checkpoints there
@@ -117,7 +146,7 @@ def fit_model(
     model = fit(rounds)
     if validation is not None and rounds > 1:
         vectors = assembler.transform(validation.select(label, *columns)).select(LABEL, FEATURES)
-        best = best_round(_booster(model).evaluateEachIteration(vectors), patience)
+        best = best_round(round_values(_booster(model), vectors, stop_on), patience)
         if best < rounds:
             rounds, model = best, fit(best)
     return Fitted(model, tuple(features), rounds, params)
@@ -135,7 +164,6 @@ class Trial:
     params: Mapping[str, float]
     rounds: int
     auc: float
-    fitted: Fitted
 
 
 def search(
@@ -160,7 +188,7 @@ def search(
     def run(number: int) -> Trial:
         fitted = fit_model(train, validation, features, draws[number], target)
         auc = auc_value(with_probability(validation, fitted.model), label=target)
-        return Trial(number, draws[number], fitted.rounds, float("nan") if auc is None else auc, fitted)
+        return Trial(number, draws[number], fitted.rounds, float("nan") if auc is None else auc)
 
     with ThreadPoolExecutor(parallelism) as pool:
         work = inheritable_thread_target(train.sparkSession)(run)

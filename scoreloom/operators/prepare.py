@@ -22,7 +22,6 @@ from .validate import require_schema_match
 
 NULL_LEVEL = "0"
 OTHER_LEVEL = "other"
-SKETCH_ERROR = 0.05
 RANKING_SLICES = 256
 
 
@@ -55,41 +54,41 @@ def discover_levels(
     max_levels: int = config.MAX_ENCODED_LEVELS,
     overflow: str = "error",
 ) -> dict[str, list[str]]:
-    """Sorted levels of each (null-filled) text column.
+    """Sorted levels of each text column; NULL is not a level.
 
-    A sketch pass first finds columns with far too many levels, so the exact pass brings at most
-    about ``max_levels`` values per column to the driver. ``overflow="other"`` keeps the
-    ``max_levels - 1`` most frequent levels of such a column and gathers the rest under one level.
+    One pass, and at most ``max_levels`` rows per column reach the driver. ``overflow="other"``
+    keeps the ``max_levels - 1`` most frequent levels of a column with more and gathers the rest
+    under one level.
     """
     if overflow not in ("error", "other"):
         raise ValueError("overflow must be 'error' or 'other'.")
     if not names:
         return {}
-    sketch = df.agg(*[F.approx_count_distinct(column(n), SKETCH_ERROR).alias(n) for n in names]).first()
-    wide = [n for n in names if sketch[n] > max_levels * (1 + 4 * SKETCH_ERROR)]
-    if wide and overflow == "error":
-        raise ValueError(f"More than {max_levels} levels in column(s) {', '.join(wide)}.")
-
-    long = df.select(*[column(n) for n in names]).unpivot(
-        [], [column(n) for n in names], "variable", "level"
-    ).where(F.col("level").isNotNull())
+    wide = [column(n) for n in names]
+    long = df.select(*wide).unpivot([], wide, "variable", "level").where(F.col("level").isNotNull())
     counts = long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
+    allowed = len(names) * max_levels
     if overflow == "other":
         # First per slice of the levels, then overall: no task ranks all levels of a wide column.
         ranked = counts.withColumn("slice", F.pmod(F.xxhash64("level"), F.lit(RANKING_SLICES)))
         for groups in (("variable", "slice"), ("variable",)):
             top = Window.partitionBy(*groups).orderBy(F.desc("n"), "level")
             ranked = ranked.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= max_levels + 1)
-        counts = ranked.select("variable", "level", "n")
+        found_rows = ranked.select("variable", "level", "n").collect()
+    else:
+        # One row more than all columns may have together shows that some column has too many.
+        found_rows = counts.limit(allowed + 1).collect()
+        if len(found_rows) > allowed:
+            raise ValueError(f"More than {max_levels} levels in one of the columns {', '.join(names)}.")
     found: dict[str, list[tuple[int, str]]] = {n: [] for n in names}
-    for row in counts.collect():
+    for row in found_rows:
         found[row["variable"]].append((-row["n"], row["level"]))
 
     levels = {}
     for name, rows in found.items():
         if len(rows) > max_levels:
             if overflow == "error":
-                raise ValueError(f"More than {max_levels} levels in column(s) {name}.")
+                raise ValueError(f"More than {max_levels} levels in column {name}.")
             kept = {level for _, level in sorted(rows)[: max_levels - 1]}
             levels[name] = [*sorted(kept - {OTHER_LEVEL}), OTHER_LEVEL]
         else:

@@ -14,24 +14,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.expressions import column
+from ..functions.expressions import column, double_array, quoted
 
-RANGES = 256
+MAX_RANGES = 4096
+ROWS_PER_RANGE = 1_000_000
+SKETCH_PRECISION = 10
 HEX_DIGITS_PER_PASS = 4
 THRESHOLD_LEAF = 10_000
 
 
-def split_points(df: DataFrame, names: Sequence[str], ranges: int = RANGES) -> dict[str, list[float]]:
+def range_count(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """Number of ranges for the rows of ``df``; the count reads no column."""
+    return max(1, min(MAX_RANGES, -(-df.count() // rows_per_range)))
+
+
+def split_points(df: DataFrame, names: Sequence[str], n_ranges: int) -> dict[str, list[float]]:
     """Ascending cut points per double column, so that ranges hold about equal numbers of rows.
 
-    One scan; every task sends one sketch per column, and the driver gets ``ranges`` numbers per
-    column. The points only steer balance: results do not depend on them.
+    One scan; every task sends one sketch per column, and the driver gets ``n_ranges - 1`` numbers
+    per column. The points only steer balance: results do not depend on them.
     """
-    if ranges < 2:
+    if n_ranges < 2 or not names:
         return {n: [] for n in names}
-    shares = [i / ranges for i in range(1, ranges)]
+    shares = double_array(i / n_ranges for i in range(1, n_ranges))
+    precision = SKETCH_PRECISION * n_ranges
     row = df.agg(
-        *[F.percentile_approx(column(n), shares, 40 * ranges).alias(f"p{i}") for i, n in enumerate(names)]
+        *[F.expr(f"percentile_approx({quoted(n)}, {shares}, {precision})").alias(f"p{i}") for i, n in enumerate(names)]
     ).first()
     return {n: sorted({float(x) for x in row[i] or ()}) for i, n in enumerate(names)}
 
@@ -102,7 +110,7 @@ def positions(df: DataFrame, bucket: Column, order: Sequence[str], name: str = "
     )
 
 
-def hash_bucket(hash_column: str, digits: int = 3) -> Column:
+def hash_bucket(hash_column: str, digits: int = 4) -> Column:
     """Bucket of a hex hash that follows the order of the hash: 16 ** digits buckets."""
     return F.substring(column(hash_column), 1, digits)
 

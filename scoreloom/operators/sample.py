@@ -56,9 +56,10 @@ def positional_join(keys: DataFrame, features: DataFrame, key: str, feature_key:
 
     Both sides are numbered per bucket, so no task sorts a whole side.
     """
-    points = ranges.split_points(keys.select(column(key).cast("double").alias(key)), [key])[key]
+    ordered = keys.withColumn("__order", column(key).cast("double"))
+    points = ranges.split_points(ordered, ["__order"], ranges.range_count(keys))
     left = ranges.positions(
-        ranges.with_ranges(keys.withColumn("__order", column(key).cast("double")), {"__order": points}),
+        ranges.with_ranges(ordered, points),
         F.col("__order_range"), [key],
     ).drop("__order", "__order_range")
     right = ranges.positions(

@@ -36,18 +36,17 @@ def has_duplicates(df: DataFrame, names: Sequence[str]) -> bool:
     return not duplicate_keys(df, names).isEmpty()
 
 
-def _flags(df: DataFrame, snapshot: str, scoring: bool, spec: SnapshotSpec) -> DataFrame:
-    """What the checks need of one snapshot: its customer ids and two null flags per row."""
+def _flags(df: DataFrame, snapshot: str, scoring: bool, spec: SnapshotSpec, id_type: str | None) -> DataFrame:
+    """What the checks need of one snapshot that has its keys: customer ids and two null flags per row."""
     def any_missing(names: Sequence[str]) -> Column:
         return reduce(lambda a, b: a | b, [is_missing(df, n) for n in names], F.lit(False))
 
-    has_keys = has_columns(df, spec.keys)
     check_target = not scoring and spec.target in df.columns
-    customer = column(spec.customer_id).cast("string") if has_keys else F.lit(None).cast("string")
+    customer = column(spec.customer_id)
     return df.select(
         F.lit(snapshot).alias("snapshot"),
-        customer.alias("customer"),
-        any_missing(spec.keys if has_keys else ()).cast("int").alias("null_key"),
+        (customer.cast(id_type) if id_type else customer).alias("customer"),
+        any_missing(spec.keys).cast("int").alias("null_key"),
         any_missing((spec.target,) if check_target else ()).cast("int").alias("null_target"),
     )
 
@@ -73,9 +72,10 @@ def validate_all(
         ],
         "snapshot string, has_keys boolean, has_target boolean, scoring boolean",
     )
-    checked = [
-        _flags(df, name, name in scoring, spec) for name, df in snapshots.items() if has_columns(df, spec.keys)
-    ]
+    with_keys = {name: df for name, df in snapshots.items() if has_columns(df, spec.keys)}
+    id_types = {df.schema[spec.customer_id].dataType for df in with_keys.values()}
+    id_type = "string" if len(id_types) > 1 else None
+    checked = [_flags(df, name, name in scoring, spec, id_type) for name, df in with_keys.items()]
     if checked:
         per_customer = (
             reduce(DataFrame.unionByName, checked)

@@ -57,10 +57,7 @@ def train_and_register(
     trials: int = config.SEARCH_TRIALS,
     parallelism: int = 2,
 ) -> TrainedModel:
-    """Search, keep the best trial's model, and write model, importance, parameters and result.
-
-    The best trial already is the fit on its parameters, rows and seed, so it is not fitted again.
-    """
+    """Search, fit the best parameters again stopping on AUC, and register the model with its tables."""
     learning.check_model_type(model_type)
     target = prepared.encoder.spec.target
     features = prepared.encoder.names
@@ -68,7 +65,7 @@ def train_and_register(
     best = learning.search(
         train, validation, features, model_type, bounds, trials, target, parallelism=parallelism
     )[0]
-    fitted = best.fitted
+    fitted = learning.fit_model(train, validation, features, best.params, target, stop_on="auc")
     refit = evaluate.auc_value(with_probability(validation, fitted.model), label=target)
     test_roc = evaluate.auc_value(with_probability(test, fitted.model), label=target)
     registry.save_model(name, fitted.model)
@@ -120,7 +117,6 @@ class DevelopmentRun:
 
         run_id = self.moment.strftime("%y%m%d_%H%M%S")
         profiled = binning.profile(train, test, self.spec)
-        profiled = binning.Profile(profiled.bins, stored(profiled.counts, "bin_counts"), profiled.scope)
         write_table(binning.variable_iv(profiled.summary), self.output, "iv", run_id)
         write_table(binning.variable_psi(profiled.psi_bins), self.output, "psi", run_id)
         write_table(profiled.summary, self.output, "binning_summary", run_id)

@@ -35,6 +35,8 @@ def snapshots(spark: SparkSession, folder: str, data_types=("TRAIN", "TEST")) ->
         month = F.when(F.col("data_type") == tag, F.lit(ym)).otherwise(month)
 
     urgent = F.col("o_orderpriority") == "1-URGENT"
+    # Status is one letter: its largest code keeps the aggregation hash-based, a text maximum sorts.
+    letter = F.ascii("o_orderstatus")
     price = F.col("o_totalprice")
     per_customer = (
         table(spark, folder, "orders")
@@ -46,7 +48,7 @@ def snapshots(spark: SparkSession, folder: str, data_types=("TRAIN", "TEST")) ->
             F.count_if(urgent).alias("n_urgent"),
             F.max(price).alias("max_price"),
             F.max(F.when(F.col("o_orderstatus") == "P", price)).alias("pending_price"),
-            F.max(F.when(urgent, F.col("o_orderstatus"))).alias("urgent_status"),
+            F.char(F.max(F.when(urgent, letter)).cast("bigint")).alias("urgent_status"),
         )
     )
     customers = table(spark, folder, "customer").join(
