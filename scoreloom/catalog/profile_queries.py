@@ -81,7 +81,7 @@ GROUP BY variable, value""",
 )
 def dist_prefix_sum(spark, folder):
     lines = tables.table(spark, folder, "lineitem").select(*LINE_NUMBERS)
-    cuts = ranges.split_points(lines, LINE_NUMBERS, 256)
+    cuts = ranges.split_points(lines, LINE_NUMBERS, lines.count(), 256)
     points = sorted({p for values in cuts.values() for p in values})
     counts = (
         lines.unpivot([], list(LINE_NUMBERS), "variable", "value")

@@ -142,7 +142,9 @@ def _refined(pool: DataFrame, points: dict[str, list[float]], wide: Sequence[_Ta
 
     chosen = list({(t.variable, t.range): t for t in wide}.values())
     sliced = pool.select(*[inside(t).alias(f"c{i}") for i, t in enumerate(chosen)])
-    cuts = ranges.split_points(sliced, sliced.columns, n)
+    cuts = ranges.split_points(sliced, sliced.columns, max(t.rows for t in chosen), n)
+    if not all(cuts.values()):  # the sketch sample missed a range
+        cuts = ranges.split_points(sliced, sliced.columns, 0, n)
     refined = {v: set(p) for v, p in points.items()}
     for i, t in enumerate(chosen):
         refined[t.variable] |= set(cuts[f"c{i}"])
@@ -207,7 +209,7 @@ def quantile_edges(
     }
     points: dict[str, list[float]] = {n: [] for n in variables}
     if max(pool_rows.values()) > leaf_rows:
-        points = ranges.split_points(pool, variables, n_ranges)
+        points = ranges.split_points(pool, variables, max(pool_rows.values()), n_ranges)
         targets = _locate(pool, points, limits)
         while wide := [t for t in targets if t.rows > leaf_rows]:
             points = _refined(pool, points, wide, n_ranges)

@@ -28,7 +28,8 @@ def roc_auc(
     rows = df.select(
         *[column(g) for g in groups], as_number(df, score).alias("score"), column(label).cast("int").alias("label")
     ).where(F.col("score").isNotNull() & F.col("label").isNotNull())
-    points = ranges.split_points(rows, ["score"], ranges.range_count(df, rows_per_range))
+    n_rows = df.count()  # reads no column
+    points = ranges.split_points(rows, ["score"], n_rows, ranges.range_count(n_rows, rows_per_range))
     by_group = list(groups)
     per_score = (
         ranges.with_ranges(rows, points)

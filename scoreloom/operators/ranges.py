@@ -19,25 +19,30 @@ from ..functions.expressions import column, double_array, quoted
 MAX_RANGES = 4096
 ROWS_PER_RANGE = 1_000_000
 SKETCH_PRECISION = 10
+SKETCH_ROWS = 5_000_000
 HEX_DIGITS_PER_PASS = 4
 THRESHOLD_LEAF = 10_000
 
 
-def range_count(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> int:
-    """Number of ranges for the rows of ``df``; the count reads no column."""
-    return max(1, min(MAX_RANGES, -(-df.count() // rows_per_range)))
+def range_count(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    return max(1, min(MAX_RANGES, -(-rows // rows_per_range)))
 
 
-def split_points(df: DataFrame, names: Sequence[str], n_ranges: int) -> dict[str, list[float]]:
+def split_points(
+    df: DataFrame, names: Sequence[str], rows: int, n_ranges: int, sketch_rows: int = SKETCH_ROWS
+) -> dict[str, list[float]]:
     """Ascending cut points per double column, so that ranges hold about equal numbers of rows.
 
-    One scan; every task sends one sketch per column, and the driver gets ``n_ranges - 1`` numbers
-    per column. The points only steer balance: results do not depend on them.
+    One scan; about ``sketch_rows`` of the ``rows`` rows enter the sketches, every task sends one
+    sketch per column, and the driver gets ``n_ranges - 1`` numbers per column. The points only
+    steer balance: results do not depend on them.
     """
     if n_ranges < 2 or not names:
         return {n: [] for n in names}
     shares = double_array(i / n_ranges for i in range(1, n_ranges))
     precision = SKETCH_PRECISION * n_ranges
+    if rows > sketch_rows:
+        df = df.sample(sketch_rows / rows, seed=1)
     row = df.agg(
         *[F.expr(f"percentile_approx({quoted(n)}, {shares}, {precision})").alias(f"p{i}") for i, n in enumerate(names)]
     ).first()

@@ -57,7 +57,8 @@ def positional_join(keys: DataFrame, features: DataFrame, key: str, feature_key:
     Both sides are numbered per bucket, so no task sorts a whole side.
     """
     ordered = keys.withColumn("__order", column(key).cast("double"))
-    points = ranges.split_points(ordered, ["__order"], ranges.range_count(keys))
+    rows = keys.count()
+    points = ranges.split_points(ordered, ["__order"], rows, ranges.range_count(rows))
     left = ranges.positions(
         ranges.with_ranges(ordered, points),
         F.col("__order_range"), [key],
