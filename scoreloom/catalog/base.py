@@ -50,7 +50,7 @@ def both(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def stored_both(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Both labelled snapshots built in one scan and written once, for queries that pass over them often."""
-    table = stored(tables.snapshots(spark, folder), "snapshots")
+    table = stored(tables.snapshots(spark, folder), "snapshots", "data_type")
     return tuple(table.where(F.col("data_type") == t).drop("data_type") for t in ("TRAIN", "TEST"))
 
 

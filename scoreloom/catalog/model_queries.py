@@ -24,7 +24,7 @@ MOMENT, LATER = datetime(2024, 1, 1, 9, 0, 0), datetime(2024, 1, 1, 10, 0, 0)
 
 def _prepared(spark, folder) -> Prepared:
     prepared = prepare_development(*stored_both(spark, folder))
-    return Prepared(stored(prepared.data, "prepared"), prepared.encoder)
+    return Prepared(stored(prepared.data, "prepared", "split"), prepared.encoder)
 
 
 def _fit(prepared: Prepared, params=SMALL) -> learning.Fitted:

@@ -6,20 +6,19 @@ import logging
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import config
 from ..config import DEFAULT_SPEC
 from ..functions.expressions import column, quoted
 from ..sources.workspace import fresh_path, shared_folder
 from .evaluate import auc_value, roc_auc
-from .score import with_probability
 
 log = logging.getLogger(__name__)
 
@@ -84,15 +83,21 @@ def best_round(gains: Sequence[float], patience: int = config.PATIENCE) -> int:
     return max(at, 1)
 
 
-def auc_per_round(booster: GBTClassificationModel, vectors: DataFrame) -> list[float]:
-    """Validation AUC after each round, from one pass over per-tree predictions.
+def _tree_steps(booster: GBTClassificationModel, vectors: DataFrame, rounds: int) -> tuple[DataFrame, Column]:
+    """Add the prediction of each of the first trees; the array holds their weighted steps.
 
-    The probability grows with the summed margin, so margins rank rows the same way.
+    The probability grows with the summed steps, so partial sums rank rows as a shorter model would.
     """
     df = vectors
-    for i, tree in enumerate(booster.trees):
+    for i, tree in enumerate(booster.trees[:rounds]):
         df = tree.setFeaturesCol(FEATURES).setPredictionCol(f"tree{i}").transform(df)
-    steps = F.array(*[F.col(f"tree{i}") * F.lit(float(w)) for i, w in enumerate(booster.treeWeights)])
+    weights = booster.treeWeights[:rounds]
+    return df, F.array(*[F.col(f"tree{i}") * F.lit(float(w)) for i, w in enumerate(weights)])
+
+
+def auc_per_round(booster: GBTClassificationModel, vectors: DataFrame) -> list[float]:
+    """AUC after each round, all rounds in one pass."""
+    df, steps = _tree_steps(booster, vectors, len(booster.treeWeights))
     margins = F.aggregate(
         steps,
         F.array().cast("array<double>"),
@@ -103,6 +108,13 @@ def auc_per_round(booster: GBTClassificationModel, vectors: DataFrame) -> list[f
     return [r["roc_auc"] if r["roc_auc"] is not None else 0.5 for r in sorted(rows)]
 
 
+def auc_at_round(booster: GBTClassificationModel, vectors: DataFrame, rounds: int) -> float | None:
+    """AUC of the first ``rounds`` trees, without fitting the shorter model."""
+    df, steps = _tree_steps(booster, vectors, rounds)
+    margin = F.aggregate(steps, F.lit(0.0), lambda done, step: done + step)
+    return auc_value(df.select(LABEL, margin.alias("margin")), "margin", LABEL)
+
+
 def round_values(booster: GBTClassificationModel, vectors: DataFrame, stop_on: str) -> list[float]:
     """One value per round, higher is better."""
     if stop_on == "auc":
@@ -110,6 +122,39 @@ def round_values(booster: GBTClassificationModel, vectors: DataFrame, stop_on: s
     return [-loss for loss in booster.evaluateEachIteration(vectors)]
 
 
+@dataclass(frozen=True)
+class Learner:
+    """Assembler and booster settings for one feature list and parameter set.
+
+    ``options`` go to ``GBTClassifier`` as they are, for example ``maxMemoryInMB``.
+    """
+
+    features: tuple[str, ...]
+    params: Mapping[str, float]
+    target: str = DEFAULT_SPEC.target
+    seed: int = config.MODEL_SEED
+    options: Mapping = field(default_factory=dict)
+
+    @property
+    def max_rounds(self) -> int:
+        return gbt_params(self.params)["maxIter"]
+
+    def _columns(self, df: DataFrame) -> DataFrame:
+        return df.select(column(self.target).cast("double").alias(LABEL), *[column(n) for n in self.features])
+
+    def _assembler(self) -> VectorAssembler:
+        return VectorAssembler(inputCols=[quoted(n) for n in self.features], outputCol=FEATURES)
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        return self._assembler().transform(self._columns(df)).select(LABEL, FEATURES)
+
+    def fit(self, train: DataFrame, rounds: int) -> PipelineModel:
+        shared_folder(train.sparkSession)  # the booster checkpoints there
+        settings = {**gbt_params(self.params), **self.options, "maxIter": rounds}
+        booster = GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, seed=self.seed, **settings)
+        return Pipeline(stages=[self._assembler(), booster]).fit(self._columns(train))
+
+
 def fit_model(
     train: DataFrame,
     validation: DataFrame | None,
@@ -119,6 +164,7 @@ def fit_model(
     patience: int = config.PATIENCE,
     seed: int = config.MODEL_SEED,
     stop_on: str = "logloss",
+    options: Mapping | None = None,
 ) -> Fitted:
     """Boosted trees, stopped by the validation ``logloss`` or ``auc``.
 
@@ -129,27 +175,14 @@ def fit_model(
     """
     if stop_on not in ("logloss", "auc"):
         raise ValueError("stop_on must be 'logloss' or 'auc'.")
-    params = dict(params or {})
-    settings = gbt_params(params)
-    shared_folder(train.sparkSession)  # the learner checkpoints there
-    assembler = VectorAssembler(inputCols=[quoted(n) for n in features], outputCol=FEATURES)
-    label = column(target).cast("double").alias(LABEL)
-    columns = [column(n) for n in features]
-
-    def fit(rounds: int) -> PipelineModel:
-        learner = GBTClassifier(
-            featuresCol=FEATURES, labelCol=LABEL, seed=seed, **{**settings, "maxIter": rounds}
-        )
-        return Pipeline(stages=[assembler, learner]).fit(train.select(label, *columns))
-
-    rounds = settings["maxIter"]
-    model = fit(rounds)
+    learner = Learner(tuple(features), dict(params or {}), target, seed, dict(options or {}))
+    rounds = learner.max_rounds
+    model = learner.fit(train, rounds)
     if validation is not None and rounds > 1:
-        vectors = assembler.transform(validation.select(label, *columns)).select(LABEL, FEATURES)
-        best = best_round(round_values(_booster(model), vectors, stop_on), patience)
+        best = best_round(round_values(_booster(model), learner.vectors(validation), stop_on), patience)
         if best < rounds:
-            rounds, model = best, fit(best)
-    return Fitted(model, tuple(features), rounds, params)
+            rounds, model = best, learner.fit(train, best)
+    return Fitted(model, learner.features, rounds, learner.params)
 
 
 def draw_params(bounds: Mapping[str, tuple[float, float]], trials: int, seed: int) -> list[dict[str, float]]:
@@ -176,9 +209,11 @@ def search(
     target: str = DEFAULT_SPEC.target,
     seed: int = config.SEARCH_SEED,
     parallelism: int = 2,
+    options: Mapping | None = None,
 ) -> list[Trial]:
     """Random search for the highest validation AUC, best trial first.
 
+    A trial stops on the validation loss and is judged by the AUC of the trees up to that round.
     Each trial is a set of Spark jobs; ``parallelism`` trials run side by side so that the end of
     one job does not leave executors idle. Pass stored frames: every trial reads them again.
     """
@@ -186,9 +221,12 @@ def search(
     draws = draw_params(bounds or config.SEARCH_BOUNDS[model_type], trials, seed)
 
     def run(number: int) -> Trial:
-        fitted = fit_model(train, validation, features, draws[number], target)
-        auc = auc_value(with_probability(validation, fitted.model), label=target)
-        return Trial(number, draws[number], fitted.rounds, float("nan") if auc is None else auc)
+        learner = Learner(tuple(features), draws[number], target, options=dict(options or {}))
+        booster = _booster(learner.fit(train, learner.max_rounds))
+        vectors = learner.vectors(validation)
+        rounds = best_round(round_values(booster, vectors, "logloss"))
+        auc = auc_at_round(booster, vectors, rounds)
+        return Trial(number, draws[number], rounds, float("nan") if auc is None else auc)
 
     with ThreadPoolExecutor(parallelism) as pool:
         work = inheritable_thread_target(train.sparkSession)(run)

@@ -140,7 +140,7 @@ class DevelopmentRun:
 
     def _train(self, train, test, keep, moment) -> TrainedModel:
         prepared = prepare_development(train, test, keep, self.spec)
-        prepared = Prepared(stored(prepared.data, "prepared"), prepared.encoder)
+        prepared = Prepared(stored(prepared.data, "prepared", "split"), prepared.encoder)
         return train_and_register(
             prepared, self.registry, model_name(self.model_type, moment), self.model_type,
             self.bounds, self.trials, self.parallelism,

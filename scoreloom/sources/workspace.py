@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.expressions import column
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` as the session names it; a temporary folder only where it is unset."""
@@ -24,12 +26,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/scoreloom/{uuid.uuid4().hex}/{name}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back.
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once and read it back, laid out by the given columns.
 
     Loops that read the same frame many times (search trials, boosting, evaluation) go on from
     this table: it outlives lost executors, and its rows and files do not change between reads.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[column(n) for n in df.columns])

@@ -60,12 +60,13 @@ def test_refit_is_a_prefix_and_auc_per_round_is_exact(spark, small_dir):
     prepared = _prepared(spark, small_dir)
     train, val, names = prepared.part("train"), prepared.part("val"), prepared.encoder.names
     long = learning.fit_model(train, None, names, {**SMALL, "n_estimators": 4})
-    vectors = long.model.stages[0].transform(val.selectExpr("cast(PERF as double) __label", *[f"`{n}`" for n in names]))
+    vectors = learning.Learner(tuple(names), SMALL).vectors(val)
     per_round = learning.auc_per_round(long.model.stages[-1], vectors)
     assert len(per_round) == 4
     for rounds in (2, 4):
         short = learning.fit_model(train, None, names, {**SMALL, "n_estimators": rounds})
         assert evaluate.auc_value(with_probability(val, short.model)) == pytest.approx(per_round[rounds - 1], abs=1e-9)
+        assert learning.auc_at_round(long.model.stages[-1], vectors, rounds) == pytest.approx(per_round[rounds - 1], abs=1e-9)
 
 
 def test_patience():
