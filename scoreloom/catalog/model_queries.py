@@ -15,7 +15,7 @@ from ..plans.scoring import ScoringRun
 from ..sources import tables
 from ..sources.registry import ModelRegistry, model_name
 from ..sources.workspace import fresh_path, stored
-from .base import query, stored_both
+from .base import SNAPSHOT, query, stored_both
 
 SMALL = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5}
 SMALL_BOUNDS = {"max_depth": (2, 3), "learning_rate": (0.1, 0.2), "n_estimators": (3, 5), "subsample": (0.8, 1)}
@@ -79,7 +79,7 @@ def importance_table(spark, folder):
     return learning.importance_table(_fit(prepared))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", f"WITH {SNAPSHOT} SELECT count(*) AS n_rows, CAST(0 AS DOUBLE) AS gap FROM test")
 def model_roundtrip(spark, folder):
     """Largest difference between the probabilities of a model and of its saved copy."""
     prepared = _prepared(spark, folder)
@@ -101,7 +101,18 @@ def sink_importance(spark, folder):
     return _registered(spark, folder).importance()
 
 
-@query("registry_features")
+FEATURE_NAMES = f"""WITH {SNAPSHOT}, names AS (
+  SELECT 0 AS part, i, name FROM (
+    SELECT unnest(range(1, 9)) AS i,
+           unnest(['acctbal', 'is_overdrawn', 'region_key', 'n_orders', 'total_price', 'n_urgent', 'max_price', 'pending_price'])
+             AS name)
+  UNION ALL SELECT 1, 0, 'segment_' || level FROM (SELECT DISTINCT coalesce(segment, '0') AS level FROM train)
+  UNION ALL SELECT 2, 0, 'urgent_status_' || level FROM (SELECT DISTINCT coalesce(urgent_status, '0') AS level FROM train)
+)
+SELECT CAST(row_number() OVER (ORDER BY part, i, name) - 1 AS INTEGER) AS position, name AS variable FROM names"""
+
+
+@query("registry_features", FEATURE_NAMES)
 def registry_features(spark, folder):
     registry = _registered(spark, folder)
     names = registry.features(registry.latest("xgb"))
