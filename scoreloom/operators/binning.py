@@ -212,7 +212,10 @@ def quantile_edges(
         points = ranges.split_points(pool, variables, max(pool_rows.values()), n_ranges)
         targets = _locate(pool, points, limits)
         while wide := [t for t in targets if t.rows > leaf_rows]:
-            points = _refined(pool, points, wide, n_ranges)
+            refined = _refined(pool, points, wide, n_ranges)
+            if refined == points:  # nothing finite left to cut at
+                break
+            points = refined
             targets = _locate(pool, points, limits)
     else:
         targets = [_Target(n, limit) for n in variables for limit in limits[n]]
@@ -222,7 +225,7 @@ def quantile_edges(
     if open_targets:
         for row in _edges_in_ranges(pool, points, open_targets).collect():
             found[row["variable"], row["limit"]] = row["edge"]
-    return {n: sorted({found[n, k] for k in limits[n]} - {None}) for n in variables}
+    return {n: sorted({found[n, k] for k in limits[n]} - {None, -INF, INF}) for n in variables}
 
 
 def approximate_edges(
@@ -267,7 +270,7 @@ class Bins:
     edges: dict[str, list[float]] = field(default_factory=dict)
     specials: dict[str, list[float]] = field(default_factory=dict)
     levels: dict[str, list[str]] = field(default_factory=dict)
-    overflow: str = "error"
+    gathered: frozenset[str] = frozenset()  # text variables whose rarer levels are one
 
     @property
     def numerical(self) -> list[str]:
@@ -316,7 +319,7 @@ def fit_bins(
             edges = approximate_edges(df, numerical, quantiles, special_values)
         else:
             edges = quantile_edges(df, numerical, quantiles, special_values, pool_rows, **options)
-    return Bins(edges, specials, discover_levels(df, categorical, max_levels, overflow), overflow)
+    return Bins(edges, specials, *discover_levels(df, categorical, max_levels, overflow))
 
 
 def bin_counts(df: DataFrame, bins: Bins, target: str = DEFAULT_SPEC.target) -> DataFrame:
@@ -331,9 +334,9 @@ def bin_counts(df: DataFrame, bins: Bins, target: str = DEFAULT_SPEC.target) ->
     }
 
     def level(n: str) -> Column:
-        c, known = column(n), bins.levels[n]
-        if bins.overflow == "other" and OTHER_LEVEL in known:
-            return F.when(c.isNull() | c.isin(*known), c).otherwise(F.lit(OTHER_LEVEL))
+        c = column(n)
+        if n in bins.gathered:
+            return F.when(c.isNull() | c.isin(*bins.levels[n]), c).otherwise(F.lit(OTHER_LEVEL))
         return c
 
     columns = {**numeric, **{n: level(n) for n in bins.categorical}}

@@ -53,17 +53,17 @@ def discover_levels(
     names: Sequence[str],
     max_levels: int = config.MAX_ENCODED_LEVELS,
     overflow: str = "error",
-) -> dict[str, list[str]]:
-    """Sorted levels of each text column; NULL is not a level.
+) -> tuple[dict[str, list[str]], frozenset[str]]:
+    """Sorted levels of each text column (NULL is not one), and the columns with gathered levels.
 
-    One pass, and at most ``max_levels`` rows per column reach the driver. ``overflow="other"``
+    One pass, and about ``max_levels`` rows per column reach the driver. ``overflow="other"``
     keeps the ``max_levels - 1`` most frequent levels of a column with more and gathers the rest
     under one level.
     """
     if overflow not in ("error", "other"):
         raise ValueError("overflow must be 'error' or 'other'.")
     if not names:
-        return {}
+        return {}, frozenset()
     wide = [column(n) for n in names]
     long = df.select(*wide).unpivot([], wide, "variable", "level").where(F.col("level").isNotNull())
     counts = long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
@@ -84,16 +84,17 @@ def discover_levels(
     for row in found_rows:
         found[row["variable"]].append((-row["n"], row["level"]))
 
-    levels = {}
+    levels, gathered = {}, set()
     for name, rows in found.items():
         if len(rows) > max_levels:
             if overflow == "error":
                 raise ValueError(f"More than {max_levels} levels in column {name}.")
-            kept = {level for _, level in sorted(rows)[: max_levels - 1]}
-            levels[name] = [*sorted(kept - {OTHER_LEVEL}), OTHER_LEVEL]
-        else:
-            levels[name] = sorted(level for _, level in rows)
-    return levels
+            gathered.add(name)
+            rows = sorted(rows)[: max_levels - 1]
+        levels[name] = sorted({level for _, level in rows} - ({OTHER_LEVEL} if name in gathered else set()))
+        if name in gathered:
+            levels[name].append(OTHER_LEVEL)
+    return levels, frozenset(gathered)
 
 
 @dataclass(frozen=True)
@@ -148,23 +149,20 @@ class FeatureEncoder:
         before = bool(keep) and all(n in df.columns for n in keep)
         if before:
             raw = [n for n in keep if n not in carried]
-        texts = [n for n in text_columns(df) if n in raw]
-        texts = [n for n in raw if n in texts]
+        all_texts = set(text_columns(df))
+        texts = [n for n in raw if n in all_texts]
         if keep and not before:
             # A level column starts with its source's name; other text columns need no scan.
             texts = [n for n in texts if any(k.startswith(ascii_map([n], names)[n] + "_") for k in keep)]
         filled = fill_missing(df.select(*[column(n) for n in texts]))
-        levels = discover_levels(filled, texts, max_levels, overflow)
-
-        plain = [Feature(n, n) for n in raw if n not in text_columns(df)]
-        encoded = [
-            Feature(
-                f"{n}_{level}", n, level,
-                known=tuple(x for x in levels[n] if x != OTHER_LEVEL)
-                if level == OTHER_LEVEL and overflow == "other" and len(levels[n]) == max_levels else None,
-            )
-            for n in texts for level in levels[n]
-        ]
+        levels, gathered = discover_levels(filled, texts, max_levels, overflow)
+
+        def indicator(n: str, level: str) -> Feature:
+            rest = n in gathered and level == OTHER_LEVEL
+            return Feature(f"{n}_{level}", n, level, tuple(levels[n][:-1]) if rest else None)
+
+        plain = [Feature(n, n) for n in raw if n not in all_texts]
+        encoded = [indicator(n, level) for n in texts for level in levels[n]]
         renamed = ascii_map([f.name for f in plain + encoded], names)
         features = [Feature(renamed[f.name], f.source, f.level, f.known) for f in plain + encoded]
         if keep and not before:

@@ -9,6 +9,7 @@ row where it was before.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -46,7 +47,7 @@ def split_points(
     row = df.agg(
         *[F.expr(f"percentile_approx({quoted(n)}, {shares}, {precision})").alias(f"p{i}") for i, n in enumerate(names)]
     ).first()
-    return {n: sorted({float(x) for x in row[i] or ()}) for i, n in enumerate(names)}
+    return {n: sorted({float(x) for x in row[i] or () if math.isfinite(x)}) for i, n in enumerate(names)}
 
 
 def with_ranges(df: DataFrame, points: Mapping[str, Sequence[float]], suffix: str = "_range") -> DataFrame:

@@ -176,6 +176,14 @@ def test_edges_equal_brute_force_on_every_path(spark, leaf, n_ranges):
     assert got["flag"] == brute_edges(flags, (0.2, 0.4, 0.6, 0.8)) and got["none"] == []
 
 
+@pytest.mark.parametrize("leaf,n_ranges", [(10**6, 256), (2, 3)])
+def test_infinite_values_frame_the_edges(spark, leaf, n_ranges):
+    numbers = [-INF] * 4 + [1.0, 2.0] + [INF] * 10
+    assert edges(spark, numbers, leaf_rows=leaf, n_ranges=n_ranges) == [2.0]
+    frame = column_of(spark, numbers)
+    assert values(frame.select(binning.assign_bin(F.col("x"), [2.0]).alias("b")), "b") == [0] * 6 + [1] * 10
+
+
 def test_bins_are_right_closed(spark):
     frame = column_of(spark, [0.0, 1.0, 2.0, 3.0, 5.0, 9.0, None])
     assert values(frame.select(binning.assign_bin(F.col("x"), [2.0, 5.0]).alias("b")), "b") == [0, 0, 0, 1, 1, 2, None]
@@ -243,6 +251,10 @@ def test_one_hot_overflow(spark):
     encoded = prepare.one_hot(frame, max_levels=3, overflow="other")
     assert encoded.columns[4:] == ["s_a", "s_b", "s_other"]
     assert [sum(r) for r in zip(*[tuple(r)[4:] for r in encoded.collect()])] == [3, 3, 3]
+    named = frame.withColumn("s", F.when(F.col("s") == "a", "other").otherwise(F.col("s")))
+    encoded = prepare.one_hot(named, max_levels=3, overflow="other")
+    assert encoded.columns[4:] == ["s_b", "s_other"]
+    assert [sum(r) for r in zip(*[tuple(r)[4:] for r in encoded.collect()])] == [3, 6]
 
 
 def test_scoring_uses_fitted_levels(spark):
