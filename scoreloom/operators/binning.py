@@ -17,7 +17,7 @@ from ..config import DEFAULT_SPEC, SnapshotSpec
 from ..functions.expressions import as_number, column, divergence, double_array, ratio
 from ..sources.workspace import stored
 from . import ranges
-from .prepare import OTHER_LEVEL, discover_levels
+from .prepare import OTHER_LEVEL, count_levels, discover_levels
 
 TRAIN, TEST = "TRAIN", "TEST"
 TYPE = "data_type"
@@ -265,21 +265,20 @@ def _row_counts(df, variables, special_values) -> tuple[dict[str, int], dict[str
 
 @dataclass(frozen=True)
 class Bins:
-    """Fitted bins: inner edges and occurring special values per numeric variable, levels per text variable."""
+    """Fitted bins: inner edges and occurring special values per numeric variable, names of the text variables.
+
+    ``kept`` lists the levels of those text variables whose rarer levels are gathered under one.
+    """
 
     edges: dict[str, list[float]] = field(default_factory=dict)
     specials: dict[str, list[float]] = field(default_factory=dict)
-    levels: dict[str, list[str]] = field(default_factory=dict)
-    gathered: frozenset[str] = frozenset()  # text variables whose rarer levels are one
+    categorical: tuple[str, ...] = ()
+    kept: dict[str, list[str]] = field(default_factory=dict)
 
     @property
     def numerical(self) -> list[str]:
         return list(self.edges)
 
-    @property
-    def categorical(self) -> list[str]:
-        return list(self.levels)
-
     def intervals(self, name: str) -> list[tuple[int, float, float]]:
         """``(bin, low, high)``, special values first."""
         framed = [-INF, *self.edges[name], INF]
@@ -308,8 +307,14 @@ def fit_bins(
     approximate: bool = False,
     max_levels: int = config.MAX_PROFILE_LEVELS,
     overflow: str = "error",
+    levels_from: DataFrame | None = None,
     **options,
 ) -> Bins:
+    """Learn the bins of all variables of ``df``.
+
+    ``levels_from`` (default ``df``) holds all rows that will be counted: no text variable may have
+    more than ``max_levels`` levels there, as its bins are summed up in one window.
+    """
     categorical, numerical = variable_types(df, exclude)
     specials: dict[str, list[float]] = {}
     edges: dict[str, list[float]] = {}
@@ -319,7 +324,12 @@ def fit_bins(
             edges = approximate_edges(df, numerical, quantiles, special_values)
         else:
             edges = quantile_edges(df, numerical, quantiles, special_values, pool_rows, **options)
-    return Bins(edges, specials, *discover_levels(df, categorical, max_levels, overflow))
+    rows = df if levels_from is None else levels_from
+    wide = [n for n, levels in count_levels(rows, categorical).items() if levels > max_levels]
+    if wide and overflow == "error":
+        raise ValueError(f"More than {max_levels} levels in column(s) {', '.join(wide)}.")
+    kept, _ = discover_levels(rows, wide, max_levels, overflow)
+    return Bins(edges, specials, tuple(categorical), kept)
 
 
 def bin_counts(df: DataFrame, bins: Bins, target: str = DEFAULT_SPEC.target) -> DataFrame:
@@ -335,8 +345,8 @@ def bin_counts(df: DataFrame, bins: Bins, target: str = DEFAULT_SPEC.target) ->
 
     def level(n: str) -> Column:
         c = column(n)
-        if n in bins.gathered:
-            return F.when(c.isNull() | c.isin(*bins.levels[n]), c).otherwise(F.lit(OTHER_LEVEL))
+        if n in bins.kept:
+            return F.when(c.isNull() | c.isin(*bins.kept[n]), c).otherwise(F.lit(OTHER_LEVEL))
         return c
 
     columns = {**numeric, **{n: level(n) for n in bins.categorical}}
@@ -512,5 +522,5 @@ def profile(
             raise ValueError("edges_from and scope must be 'pooled' or 'train'.")
     both = tag_and_union(train, test, spec)
     source = both if edges_from == "pooled" else both.where(F.col(TYPE) == TRAIN)
-    bins = fit_bins(source, exclude=(spec.target, TYPE), **options)
+    bins = fit_bins(source, exclude=(spec.target, TYPE), levels_from=both, **options)
     return Profile(bins, stored(bin_counts(both, bins, spec.target), "bin_counts"), scope)

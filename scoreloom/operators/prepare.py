@@ -48,6 +48,21 @@ def fill_missing(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     return df.select(*[filled(f).alias(f.name) for f in df.schema])
 
 
+def _level_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows per ``(variable, level)`` of the text columns, in one pass; NULL is not a level."""
+    wide = [column(n) for n in names]
+    long = df.select(*wide).unpivot([], wide, "variable", "level").where(F.col("level").isNotNull())
+    return long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_levels(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
+    """Number of levels of each text column; one row per column reaches the driver."""
+    if not names:
+        return {}
+    found = _level_counts(df, names).groupBy("variable").agg(F.count(F.lit(1)).alias("levels")).collect()
+    return {**dict.fromkeys(names, 0), **{r["variable"]: r["levels"] for r in found}}
+
+
 def discover_levels(
     df: DataFrame,
     names: Sequence[str],
@@ -64,9 +79,7 @@ def discover_levels(
         raise ValueError("overflow must be 'error' or 'other'.")
     if not names:
         return {}, frozenset()
-    wide = [column(n) for n in names]
-    long = df.select(*wide).unpivot([], wide, "variable", "level").where(F.col("level").isNotNull())
-    counts = long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
+    counts = _level_counts(df, names)
     allowed = len(names) * max_levels
     if overflow == "other":
         # First per slice of the levels, then overall: no task ranks all levels of a wide column.

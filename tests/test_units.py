@@ -219,6 +219,11 @@ def test_profile_overflow(spark):
     bins = binning.fit_bins(frame, max_levels=3, overflow="other")
     found = {r["bin"]: r["count"] for r in binning.binning_summary(binning.bin_counts(frame, bins), bins).collect()}
     assert len(found) == 3 and found["big"] == 35 and "other" in found and sum(found.values()) == 70
+    few, many = frame.where("s = 'big'").drop("data_type"), frame.drop("data_type")
+    keys = ("base_ym", "customer_id", "customer_hash")
+    few, many = [df.select(*[F.lit("k").alias(k) for k in keys], "*") for df in (few, many)]
+    with pytest.raises(ValueError, match="More than 3 levels"):
+        binning.profile(few, many, edges_from="train", max_levels=3)
 
 
 def test_variable_types_reject_others(spark):
