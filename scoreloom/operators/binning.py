@@ -54,12 +54,12 @@ def tag_and_union(train: DataFrame, test: DataFrame, spec: SnapshotSpec = DEFAUL
 
 
 def _pool(df: DataFrame, variables: Sequence[str], special_values: Sequence[float]) -> DataFrame:
-    """Numeric variables as doubles; special values leave the pool."""
+    """Numeric variables as doubles under the names v0, v1, ...; special values leave the pool."""
     def pooled(name: str) -> Column:
         x = as_number(df, name)
         return F.when(~x.isin(*special_values), x) if special_values else x
 
-    return df.select(*[pooled(n).alias(n) for n in variables])
+    return df.select(*[pooled(n).alias(f"v{i}") for i, n in enumerate(variables)])
 
 
 def _stack(columns: Mapping[str, Column], df: DataFrame, ids: Sequence[str], value: str) -> DataFrame:
@@ -72,8 +72,7 @@ def _stack(columns: Mapping[str, Column], df: DataFrame, ids: Sequence[str], val
 def value_frequencies(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     """Rows per value of each numeric variable; ``ratio`` is the share of all rows, nulls included."""
     total = df.count()
-    pool = _pool(df, variables, ())
-    long = _stack({n: column(n) for n in variables}, pool, [], "value")
+    long = _stack({n: as_number(df, n) for n in variables}, df, [], "value")
     return (
         long.groupBy("variable", "value")
         .agg(F.count(F.lit(1)).alias("count"))
@@ -201,15 +200,14 @@ def quantile_edges(
     """
     if not variables:
         return {}
-    pool = _pool(df, variables, special_values)
     if pool_rows is None:
         pool_rows, _ = _row_counts(df, variables, special_values)
-    limits = {
-        n: sorted({int(Decimal(str(q)) * pool_rows[n]) for q in quantiles}) for n in variables
-    }
-    points: dict[str, list[float]] = {n: [] for n in variables}
+    pool = _pool(df, variables, special_values)
+    names = dict(zip(pool.columns, variables))
+    limits = {v: sorted({int(Decimal(str(q)) * pool_rows[n]) for q in quantiles}) for v, n in names.items()}
+    points: dict[str, list[float]] = {v: [] for v in names}
     if max(pool_rows.values()) > leaf_rows:
-        points = ranges.split_points(pool, variables, max(pool_rows.values()), n_ranges)
+        points = ranges.split_points(pool, pool.columns, max(pool_rows.values()), n_ranges)
         targets = _locate(pool, points, limits)
         while wide := [t for t in targets if t.rows > leaf_rows]:
             refined = _refined(pool, points, wide, n_ranges)
@@ -218,14 +216,14 @@ def quantile_edges(
             points = refined
             targets = _locate(pool, points, limits)
     else:
-        targets = [_Target(n, limit) for n in variables for limit in limits[n]]
+        targets = [_Target(v, limit) for v in names for limit in limits[v]]
 
     found = {(t.variable, t.limit): t.low for t in targets}
     open_targets = [t for t in targets if t.range is not None]
     if open_targets:
         for row in _edges_in_ranges(pool, points, open_targets).collect():
             found[row["variable"], row["limit"]] = row["edge"]
-    return {n: sorted({found[n, k] for k in limits[n]} - {None, -INF, INF}) for n in variables}
+    return {n: sorted({found[v, k] for k in limits[v]} - {None, -INF, INF}) for v, n in names.items()}
 
 
 def approximate_edges(
@@ -240,7 +238,7 @@ def approximate_edges(
         return {}
     pool = _pool(df, variables, special_values)
     row = pool.agg(
-        *[F.percentile_approx(column(n), list(quantiles), accuracy).alias(f"p{i}") for i, n in enumerate(variables)]
+        *[F.percentile_approx(column(v), list(quantiles), accuracy) for v in pool.columns]
     ).first()
     return {n: sorted({float(x) for x in row[i] or ()}) for i, n in enumerate(variables)}
 

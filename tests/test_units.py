@@ -342,6 +342,24 @@ def test_ascii_names(spark):
     assert ascii_map(["é", "e"], {"é": "e_acute"}) == {"é": "e_acute", "e": "e"}
 
 
+def test_any_column_name_works(spark):
+    from scoreloom.operators.model import fit_model
+    from scoreloom.operators.score import with_probability
+    rows = [("1", i, "h", i % 2, float(i % 7), i % 3 == 0, ["p.q", "r s", None][i % 3]) for i in range(60)]
+    odd = ["a.b", "x`y z", "마감.구분"]
+    frame = spark.createDataFrame(rows, SPEC_COLUMNS + ", a double, b boolean, c string").toDF(
+        "base_ym", "customer_id", "customer_hash", "PERF", *odd
+    )
+    for leaf in (10**6, 3):
+        found = binning.profile(frame, frame, leaf_rows=leaf, n_ranges=4)
+        assert found.bins.edges["a.b"] == [0.0, 1.0, 3.0, 4.0]
+        assert sorted(values(found.table, "variable")) == sorted(odd)
+    encoded = prepare.one_hot(frame)
+    assert encoded.columns[4:] == ["a.b", "x`y z", "magam.gubun_0", "magam.gubun_p.q", "magam.gubun_r s"]
+    fitted = fit_model(encoded, None, encoded.columns[4:], {"max_depth": 2, "n_estimators": 2})
+    assert with_probability(encoded, fitted.model).where("probability between 0 and 1").count() == 60
+
+
 # -- validation -------------------------------------------------------------------------------
 
 GOOD = [("1", 1, "h", 0), ("1", 2, "h", 1)]
