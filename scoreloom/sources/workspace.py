@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -11,13 +12,21 @@ from ..functions.expressions import column
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` as the session names it; a temporary folder only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share.
+
+    It is ``spark.checkpoint.dir`` or what ``setCheckpointDir`` was given. Without either a
+    session on one machine gets a folder of its own; on a cluster that is an error, because
+    executors would write to disks the others do not see.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="scoreloom-")
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = os.path.join(tempfile.gettempdir(), "scoreloom-checkpoints")
         spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
