@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import chat, mixing, urls, warc
+from . import chat, decontaminate, mixing, pii, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,3 +113,13 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_urls")
 def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), urls.train(spark))
+
+
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
