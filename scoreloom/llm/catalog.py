@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import chat, decontaminate, jaccard, mixing, pii, urls, warc
+from . import chat, decontaminate, jaccard, langid, mixing, pii, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,3 +128,8 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_jaccard")
 def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents")).select("doc_id", "class_id", "copy_of", "n_links")
+
+
+@query("op6_langid")
+def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
