@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import chat, decontaminate, jaccard, langid, mixing, pii, urls, warc
+from . import chat, decontaminate, embeddings, jaccard, langid, licenses, mixing, pii, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -133,3 +133,14 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_langid")
 def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
+
+
+@query("op4_embeddings")
+def op4_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings")).table
+
+
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return licenses.scan(docs.select("doc_id", licenses.document_path().alias("path"), "text"))
