@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.workspace import stored
 from .graph import components, sized
-from .text import SHINGLE, word_hashes, words
+from .text import SHINGLE, words
 
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
@@ -75,8 +75,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SIGNED.split(", ")]
     for batch in batches:
         lists = _lists(batch, "hashes")
-        ids = batch.column("doc_id")
-        keys, counts, labels = [], [], []
+        counts, labels = [], []
         group: list[np.ndarray] = []
         held = 0
 
@@ -89,10 +88,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in lists:
             if not len(w):
                 flush()
-                keys.append(None), counts.append(0), labels.append(None)
+                counts.append(0), labels.append(None)
                 continue
             s = shingles_of(w)
-            keys.append(hashlib.blake2b(w.tobytes(), digest_size=16).digest())
             counts.append(len(s))
             group.append(s)
             held += len(s)
@@ -100,12 +98,21 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flush()
         flush()
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(labels, pa.binary())], names)
+            [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()), pa.array(labels, pa.binary())], names)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Add _key, the digest of a text's words (null without words), and _hashes of the words."""
+    listed = docs.withColumn("_words", words(F.col("text")))
+    key = F.when(F.size("_words") > 0, F.unhex(F.md5(F.array_join("_words", " "))))
+    return listed.withColumn("_key", key).withColumn(
+        "_hashes", F.transform("_words", lambda w: F.xxhash64(w))).drop("_words")
 
 
 def _signed(docs: DataFrame) -> DataFrame:
     """doc_id, key of the words, number of shingles and label of every document."""
-    return docs.select(F.col("doc_id").cast("bigint"), word_hashes(F.col("text")).alias("hashes")).mapInArrow(_sign, SIGNED)
+    rows = keyed(docs.select(F.col("doc_id").cast("bigint"), "text"))
+    return rows.select("doc_id", F.col("_key").alias("key"), F.col("_hashes").alias("hashes")).mapInArrow(_sign, SIGNED)
 
 
 def candidate_groups(classes: DataFrame, depth: int) -> DataFrame:
@@ -263,7 +270,7 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def join(docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
-    """Near-duplicate classes: doc_id, key, copy_of, class_id, n_links of every document.
+    """Near-duplicate classes: doc_id, key, copy_of, class_id, n_links, kept of every document.
 
     Two documents are linked if the Jaccard similarity of their sets of five-word shingles is 0.8 or more.
     ``n_links`` counts the other documents linked directly, copies too; ``class_id`` is the smallest doc_id
@@ -288,16 +295,12 @@ def join(docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
     members = classes.select("node", "key", "rep", "copies", "n").join(groups, "node").select(
         F.col("rep").alias("doc_id"), "key", "copies", "n", F.col("label").alias("group"))
     wanted = stored(_blocks(stored(members, "members")), "blocks")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text")
-    one = stored(wanted.select("doc_id").distinct(), "wanted")
-    # Rows are told apart by their words' key in the task, where words become hashes anyway.
+    # One row of each class is wanted: that of the smallest doc_id and, where that repeats, the same words.
+    texts = keyed(docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text")).select("_id", "_key", "_hashes")
     parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = texts.join(sized(one), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi").select(
-        "_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes")
-    ).mapInArrow(_keyed, "_id bigint, key binary, hashes array<bigint>")
-    placed = keyed.withColumnRenamed("key", "_key").join(
+    placed = texts.join(
         sized(wanted), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("key"))
-    ).select("group", "block", "key", "copies", "side", "hashes")
+    ).select("group", "block", "key", "copies", "side", F.col("_hashes").alias("hashes"))
     checked = stored(
         placed.repartition(parallel, "group", "block").sortWithinPartitions("group", "block").mapInArrow(_check, CHECKED), "checked")
     links = checked.groupBy("key").agg(F.sum("linked").alias("linked"))
@@ -310,16 +313,34 @@ def join(docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
                 F.coalesce("label", "key").alias("label")),
         "linked",
     )
-    smallest = whole.groupBy("label").agg(F.min("rep").alias("class_id"))
-    named = whole.join(smallest, "label").select("key", "rep", "copies", "linked", "class_id")
-    return signed.select("doc_id", "key").join(named.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left").select(
+    first = F.min(F.struct(F.col("rep").isNull().alias("last"), "rep", "key")).alias("first")
+    smallest = whole.groupBy("label").agg(first).select(
+        "label", F.col("first.rep").alias("class_id"), F.col("first.key").alias("keep"))
+    named = whole.join(smallest, "label").select(F.col("key").alias("_key"), "rep", "copies", "linked", "class_id", "keep")
+    kept = F.col("key").isNull() | ((F.col("key") == F.col("keep")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return signed.select("doc_id", "key").join(named, F.col("key") == F.col("_key"), "left").select(
         "doc_id", "key", F.coalesce("rep", "doc_id").alias("copy_of"), F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce(F.col("copies") - 1 + F.col("linked"), F.lit(0)).alias("n_links"),
+        F.coalesce(F.col("copies") - 1 + F.col("linked"), F.lit(0)).alias("n_links"), kept.alias("kept"),
     )
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = [hashlib.blake2b(w.tobytes(), digest_size=16).digest() if len(w) else None for w in _lists(batch, "hashes")]
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(keys, pa.binary()), batch.column("hashes")],
-                                         ["_id", "key", "hashes"])
+def deduplicated(docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
+    """One document of each class, that of the smallest doc_id, with all its columns.
+
+    Documents without words all stay. Of rows with equal doc_id and words one stays.
+    """
+    found = stored(join(docs, target), "near_duplicates")
+    dropped = stored(found.where(~F.col("kept")).select("doc_id", "key").distinct(), "dropped")
+    repeated = stored(found.where(F.col("kept") & F.col("key").isNotNull()).groupBy("doc_id", "key").count()
+                      .where(F.col("count") > 1).select("doc_id", "key"), "repeated")
+    rows = keyed(docs).drop("_hashes")
+
+    def among(table: DataFrame):
+        table = sized(table.select(F.col("doc_id").alias("_id"), F.col("key").alias("_of")))
+        return table, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
+
+    left = rows.join(*among(dropped), "left_anti")
+    if not repeated.isEmpty():
+        once = left.join(*among(repeated), "left_semi").dropDuplicates(["doc_id", "_key"])
+        left = left.join(*among(repeated), "left_anti").unionByName(once)
+    return left.drop("_key")

@@ -52,7 +52,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EP
     return levels.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int = MOST_EPOCHS) -> DataFrame:
+def _key(seed: str) -> Column:
+    """Hash-random order: MD5 of seed and doc_id, or text where there is no doc_id."""
+    own = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    return F.md5(F.concat(F.lit(f"{seed}:"), own))
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int = MOST_EPOCHS, carry: bool = False) -> DataFrame:
     """Words that the mix takes of every document.
 
     Returns doc_id, source, size, source_size, target, taken. A source's budget is its target,
@@ -63,16 +69,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int =
 
     A null text is empty (size 0, taken 0); rows with a null doc_id are ordered by their text;
     repeated rows count each; a null source is a source; an empty table gives no rows; further
-    columns of ``docs`` are ignored.
+    columns of ``docs`` are ignored, or come along as the struct ``row`` with ``carry``.
     """
-    doc_id = F.col("doc_id")
-    seeded = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")))))
-    sized = stored(
-        docs.select(
-            doc_id, F.col("source"), word_count(F.col("text")).alias("size"), F.md5(seeded).alias("key")
-        ),
-        "mix_sizes",
-    )
+    narrow = ["doc_id", "source", word_count(F.col("text")).alias("size"), _key(seed).alias("key")]
+    sized = stored(docs.select(*narrow), "mix_sizes")
     buckets = max(1, -(-sized.count() // ROWS_PER_BUCKET))
     place = F.conv(F.substring("key", 1, KEY_DIGITS), 16, 10).cast("double") / float(16**KEY_DIGITS)
     placed = sized.withColumn("bucket", F.floor(place * buckets))
@@ -94,6 +94,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int =
 
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
     before = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if carry:
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        placed = docs.select(*narrow, row).withColumn("bucket", F.floor(place * buckets))
     joined = placed.withColumn("before", before).join(
         starts, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket"))
     )
@@ -102,5 +105,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int =
     )
     return joined.select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + part).cast("bigint").alias("taken"),
+        (F.col("epochs") * F.col("size") + part).cast("bigint").alias("taken"), *(["row"] if carry else []),
     )
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, seed: str = "mix") -> DataFrame:
+    """The documents that the mix takes words of, with all their columns, and words, target and taken.
+
+    ``words`` is a document's size, ``taken`` the words the mix takes of it, up to three times its size.
+    """
+    found = mix(docs, weights, seed, carry=True).where(F.col("taken") > 0)
+    return found.select("row.*", F.col("size").alias("words"), "target", "taken")
