@@ -8,7 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.workspace import stored
-from .text import SHINGLE, shingle_hashes, word_hashes
+from .graph import sized
+from .text import SHINGLE, packed, shingle_hashes, unpacked, word_hashes
 
 THRESHOLD = 0.8
 BLOCKS, BLOCK_BITS, FLIPS = 4, 16, 2
@@ -145,5 +146,6 @@ def _probes(items: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that leak no benchmark item, with all their columns."""
-    found = stored(leaks(docs, benchmark, threshold).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    found = stored(leaks(docs, benchmark, threshold).select(F.col("doc_id").alias("leaked")).distinct(), "leaked")
+    left = packed(docs, "doc_id").join(sized(found), F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    return unpacked(left, docs)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.workspace import stored
 from .graph import components, sized
-from .text import SHINGLE, words
+from .text import SHINGLE, packed, unpacked, words
 
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
@@ -333,7 +333,7 @@ def deduplicated(docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
     dropped = stored(found.where(~F.col("kept")).select("doc_id", "key").distinct(), "dropped")
     repeated = stored(found.where(F.col("kept") & F.col("key").isNotNull()).groupBy("doc_id", "key").count()
                       .where(F.col("count") > 1).select("doc_id", "key"), "repeated")
-    rows = keyed(docs).drop("_hashes")
+    rows = keyed(packed(docs, "doc_id", "text")).drop("_hashes", "text")
 
     def among(table: DataFrame):
         table = sized(table.select(F.col("doc_id").alias("_id"), F.col("key").alias("_of")))
@@ -343,4 +343,4 @@ def deduplicated(docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
     if not repeated.isEmpty():
         once = left.join(*among(repeated), "left_semi").dropDuplicates(["doc_id", "_key"])
         left = left.join(*among(repeated), "left_anti").unionByName(once)
-    return left.drop("_key")
+    return unpacked(left, docs)

@@ -9,6 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .text import packed, unpacked
+
 UNKNOWN = "und"
 WINDOW = 256  # bytes a window holds; a shorter rest is padded
 WIDTHS = (2, 3, 4)
@@ -206,6 +208,6 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def recognised(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The documents in a language that was learned, with a score of ``least_score`` or more; all columns stay."""
-    found = with_language(docs, train(docs))
+    found = with_language(packed(docs, "text"), train(docs))
     keep = (F.col("_language.lang") != UNKNOWN) & (F.col("_language.score") >= least_score)
-    return found.where(keep).drop("_language")
+    return unpacked(found.where(keep), docs)

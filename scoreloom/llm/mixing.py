@@ -113,6 +113,8 @@ def mixed(docs: DataFrame, weights=WEIGHTS, seed: str = "mix") -> DataFrame:
     """The documents that the mix takes words of, with all their columns, and words, target and taken.
 
     ``words`` is a document's size, ``taken`` the words the mix takes of it, up to three times its size.
+    Columns that have these names already are replaced.
     """
     found = mix(docs, weights, seed, carry=True).where(F.col("taken") > 0)
-    return found.select("row.*", F.col("size").alias("words"), "target", "taken")
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("words", "target", "taken")]
+    return found.select(*kept, F.col("size").alias("words"), "target", "taken")

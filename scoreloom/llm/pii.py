@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.workspace import stored
-from .text import bind, words
+from .graph import sized
+from .text import bind, packed, unpacked, words
 
 # The kinds in their order. A match may begin only where a run begins or the last match
 # ended, and no part gives characters back; that finds the same leftmost matches in linear time.
@@ -223,16 +224,17 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     base = stored(with_base(docs), "pii_base")
     terms = stored(disclosing_terms(docs, base, disclosure), "pii_terms")
     text = F.col("text")
-    found = docs.withColumn("_spans", base_spans(F.coalesce(text, F.lit(""))))
+    found = packed(docs, "doc_id", "text").withColumn("spans", base_spans(F.coalesce(text, F.lit(""))))
     if not terms.isEmpty():
-        more = term_spans(docs, terms).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "term_spans")
+        more = term_spans(docs, terms).select(F.col("doc_id").alias("id"), "key", "term_spans")
         found = found.join(
-            more, F.col("doc_id").eqNullSafe(F.col("_id"))
-            & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_key")), "left"
-        ).withColumn("_spans", F.array_sort(F.concat("_spans", F.coalesce("term_spans", F.array().cast(_EMPTY)))))
-    changed = found.withColumn("_cuts", _merged(F.col("_spans"))).withColumn(
-        "text", _replaced(text, F.col("_cuts")))
+            sized(stored(more, "pii_term_spans")), F.col("doc_id").eqNullSafe(F.col("id"))
+            & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("key")), "left"
+        ).withColumn("spans", F.array_sort(F.concat("spans", F.coalesce("term_spans", F.array().cast(_EMPTY)))))
+    cut = found.select("text", "row", _merged(F.col("spans")).alias("cuts")).select(
+        "row", "cuts", _replaced(text, F.col("cuts")).alias("clean"))
+    changed = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        changed = changed.withColumn(
-            "n_chars", F.when(F.size("_cuts") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+        own = F.col("row")["n_chars"]
+        changed["n_chars"] = F.when(F.size("cuts") > 0, F.char_length("clean").cast("bigint")).otherwise(own)
+    return unpacked(cut, docs, **changed)

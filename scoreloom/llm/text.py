@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # What separates words, and the size of a shingle in words.
 SEPARATOR = r"[^\p{L}\p{N}]+"
@@ -35,3 +35,13 @@ def shingle_hashes(hashes: Column) -> Column:
         return F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)]))
 
     return bind(hashes, runs)
+
+
+def packed(docs: DataFrame, *fields: str) -> DataFrame:
+    """The named fields beside ``row``, a struct of all columns, so that no name of a table can clash."""
+    return docs.select(*[F.col(f"`{c}`") for c in fields], F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def unpacked(frame: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    return frame.select(*[changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns])
