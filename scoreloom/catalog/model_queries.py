@@ -1,4 +1,8 @@
-"""Queries that train: no SQL counterpart exists, so tests check their properties."""
+"""Queries that train.
+
+A booster of one stump on features with few values can be written in SQL, split by split; larger
+models cannot, so tests check their properties.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import config
 from ..config import DEFAULT_SPEC
 from ..operators import evaluate, model as learning
 from ..operators.prepare import Prepared, prepare_development
@@ -16,9 +21,19 @@ from ..sources import tables
 from ..sources.registry import ModelRegistry, model_name
 from ..sources.workspace import fresh_path, stored
 from .base import SNAPSHOT, query, stored_both
+from .score_queries import GRADES
 
 SMALL = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5}
 SMALL_BOUNDS = {"max_depth": (2, 3), "learning_rate": (0.1, 0.2), "n_estimators": (3, 5), "subsample": (0.8, 1)}
+# Far more rounds than the patience, at a step that overfits: the validation measure stops the fit.
+STOPPED = {"max_depth": 3, "learning_rate": 0.3, "n_estimators": 40}
+STUMP = {"max_depth": 1, "learning_rate": 0.1, "n_estimators": 1}
+STUMP_FEATURES = (
+    "is_overdrawn", "n_urgent", "region_key",
+    "segment_AUTOMOBILE", "segment_BUILDING", "segment_FURNITURE", "segment_HOUSEHOLD", "segment_MACHINERY",
+)
+# All ranges of a search, fewer rounds and lower trees.
+QUICK = {"n_estimators": (12, 20), "max_depth": (2, 4)}
 MOMENT, LATER = datetime(2024, 1, 1, 9, 0, 0), datetime(2024, 1, 1, 10, 0, 0)
 
 
@@ -45,24 +60,121 @@ def _registered(spark, folder) -> ModelRegistry:
 @query("train_gbt")
 def train_gbt(spark, folder):
     prepared = _prepared(spark, folder)
-    return _report(prepared, _fit(prepared))
+    return _report(prepared, _fit(prepared, STOPPED))
 
 
 @query("train_gbt_lgb_preset")
 def train_gbt_lgb_preset(spark, folder):
     prepared = _prepared(spark, folder)
-    return _report(prepared, _fit(prepared, {**SMALL, "min_child_samples": 20, "colsample_bytree": 0.8, "num_leaves": 31}))
+    return _report(prepared, _fit(prepared, {**STOPPED, "min_child_samples": 20, "colsample_bytree": 0.8, "num_leaves": 31}))
+
+
+STUMP_SQL = f"""WITH {SNAPSHOT}, encoded AS (
+  SELECT base_ym, customer_id, customer_hash, PERF, data_type,
+         md5(concat('42:', CAST(customer_id AS VARCHAR))) < '4ccccccd' AS is_val,
+         CAST(is_overdrawn AS INTEGER) AS is_overdrawn, n_urgent, region_key,
+         {", ".join(f"CAST(segment = '{n.split('_')[1]}' AS INTEGER) AS {n}" for n in STUMP_FEATURES[3:])}
+  FROM snap
+), fitted AS (
+  SELECT 2.0 * PERF - 1 AS y, CAST(COLUMNS(* EXCLUDE (PERF)) AS DOUBLE)
+  FROM (SELECT PERF, {", ".join(STUMP_FEATURES)} FROM encoded WHERE data_type = 'TRAIN' AND NOT is_val)
+), long AS (
+  SELECT y, name, value FROM fitted UNPIVOT (value FOR name IN ({", ".join(STUMP_FEATURES)}))
+), per_value AS (
+  SELECT name, value, count(*) AS n, sum(y) AS s FROM long GROUP BY name, value
+), cuts AS (
+  SELECT name, (value + lead(value) OVER (PARTITION BY name ORDER BY value)) / 2 AS cut,
+         sum(n) OVER (PARTITION BY name ORDER BY value) AS n, sum(s) OVER (PARTITION BY name ORDER BY value) AS s,
+         sum(n) OVER (PARTITION BY name) AS whole_n, sum(s) OVER (PARTITION BY name) AS whole_s
+  FROM per_value
+), best AS (
+  SELECT name, cut, s / n AS below, (whole_s - s) / (whole_n - n) AS above FROM cuts WHERE cut IS NOT NULL
+  ORDER BY s * s / n + (whole_s - s) * (whole_s - s) / (whole_n - n) DESC, name LIMIT 1
+), applied AS (
+  SELECT base_ym, customer_id, customer_hash, name, value
+  FROM (SELECT base_ym, customer_id, customer_hash, CAST(COLUMNS([{", ".join(f"'{n}'" for n in STUMP_FEATURES)}]) AS DOUBLE)
+        FROM encoded WHERE data_type = 'TEST')
+  UNPIVOT (value FOR name IN ({", ".join(STUMP_FEATURES)}))
+)
+"""
+
+
+def _stump(spark, folder) -> tuple[Prepared, learning.Fitted]:
+    prepared = _prepared(spark, folder)
+    few = Prepared(prepared.data, prepared.encoder.restricted(STUMP_FEATURES))
+    return few, _fit(few, STUMP)
+
+
+@query("score_probability_stump", STUMP_SQL + """
+SELECT a.base_ym, a.customer_id, a.customer_hash,
+       round(1 / (1 + exp(-2 * CASE WHEN a.value <= b.cut THEN b.below ELSE b.above END)), 6) AS probability
+FROM applied a JOIN best b ON a.name = b.name""")
+def score_probability_stump(spark, folder):
+    """Probabilities of a booster of one stump, split and leaves learned from the training rows."""
+    few, fitted = _stump(spark, folder)
+    scored = with_probability(few.part("test"), fitted.model)
+    return scored.select(*DEFAULT_SPEC.keys, F.round("probability", 6).alias("probability"))
+
+
+@query("importance_stump", STUMP_SQL + f"""
+SELECT v.variable, CAST(v.variable = b.name AS DOUBLE) AS importance, CAST(v.variable = b.name AS BIGINT) AS split
+FROM (SELECT unnest([{", ".join(f"'{n}'" for n in STUMP_FEATURES)}]) AS variable) v, best b""")
+def importance_stump(spark, folder):
+    _, fitted = _stump(spark, folder)
+    return learning.importance_table(fitted).select("variable", "importance", "split")
+
+
+@query("monthly_scoring_stump", STUMP_SQL + f""", monthly AS (
+  SELECT customer_id, CAST(is_overdrawn AS DOUBLE) AS is_overdrawn, CAST(n_urgent AS DOUBLE) AS n_urgent,
+         CAST(region_key AS DOUBLE) AS region_key,
+         {", ".join(f"CAST(segment = '{n.split('_')[1]}' AS DOUBLE) AS {n}" for n in STUMP_FEATURES[3:])}
+  FROM score
+), points AS (
+  SELECT least(1000, greatest(1, round_even(600 + 40 / ln(2) * (2 * CASE WHEN m.value <= b.cut THEN b.below ELSE b.above END), 0)))
+         AS score
+  FROM (SELECT name, value FROM monthly UNPIVOT (value FOR name IN ({", ".join(STUMP_FEATURES)}))) m JOIN best b ON m.name = b.name
+)
+SELECT grade AS general_grade, count(*) AS general_count,
+       round(count(*) / sum(count(*)) OVER () * 100, 6) AS general_percentage
+FROM (SELECT {GRADES} AS grade FROM points) GROUP BY grade""")
+def monthly_scoring_stump(spark, folder):
+    """A registered model scores two months one after the other; the last month's distribution is returned."""
+    few, fitted = _stump(spark, folder)
+    registry = ModelRegistry(spark, fresh_path(spark, "registry"))
+    name = model_name("xgb", MOMENT)
+    for _ in range(2):  # a run that is tried again leaves what one run leaves
+        registry.save_model(name, fitted.model)
+        registry.append_encoder(name, few.encoder)
+        registry.append_importance(name, [(n, 0.0, 0, 0.0) for n in few.encoder.names])
+        registry.append_result(name, "xgb", len(few.encoder.names), 0.5, 0.5, 0.5)
+    run = ScoringRun(registry, fresh_path(spark, "scores"))
+    month = tables.snapshot(spark, folder, "SCORE")
+    run.run(tables.snapshot(spark, folder, "TEST").drop("PERF"))
+    for _ in range(2):
+        found = run.run(month)
+    return found.withColumn("general_percentage", F.round("general_percentage", 6))
 
 
 @query("tune_random")
 def tune_random(spark, folder):
+    return _tuned(spark, folder, "xgb")
+
+
+@query("tune_random_lgb")
+def tune_random_lgb(spark, folder):
+    return _tuned(spark, folder, "lgb")
+
+
+def _tuned(spark, folder, model_type: str) -> DataFrame:
+    """A search over all ranges of a preset."""
     prepared = _prepared(spark, folder)
+    bounds = {**config.SEARCH_BOUNDS[model_type], **QUICK}
     trials = learning.search(
-        prepared.part("train"), prepared.part("val"), prepared.encoder.names, bounds=SMALL_BOUNDS, trials=2
+        prepared.part("train"), prepared.part("val"), prepared.encoder.names, model_type, bounds, trials=4
     )
     return spark.createDataFrame(
-        [(t.number, t.rounds, t.auc, float(t.params["learning_rate"])) for t in trials],
-        "trial int, rounds int, auc double, learning_rate double",
+        [(t.number, t.rounds, t.auc, float(t.params["learning_rate"]), len(t.params)) for t in trials],
+        "trial int, rounds int, auc double, learning_rate double, n_params int",
     )
 
 

@@ -55,7 +55,7 @@ def profile_variable_types(spark, folder):
     )
 
 
-LINE_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount")
+LINE_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 @query(

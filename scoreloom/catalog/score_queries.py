@@ -157,7 +157,7 @@ def score_log_odds(spark, folder):
 def _points_sql(base=600, pdo=40, odds=1):
     return (
         f"{W},{_score_sql('lines', base, pdo, odds)} "
-        f"SELECT {IDS}, points FROM graded WHERE NOT isinf(points)"
+        f"SELECT {IDS}, CASE WHEN isinf(points) THEN NULL ELSE points END AS points, isinf(points) AS is_infinite FROM graded"
     )
 
 
@@ -165,7 +165,8 @@ def _points(spark, folder, **options):
     lines = tables.scored_lines(spark, folder)
     odds = score.scaling.log_odds(F.col("probability"))
     points = lines.select("l_orderkey", "l_linenumber", "probability", score.scaling.points(odds, **options).alias("points"))
-    return points.where(F.abs("points") != float("inf"))
+    infinite = F.abs("points") == float("inf")
+    return points.withColumn("is_infinite", infinite).withColumn("points", F.when(~infinite, F.col("points")))
 
 
 @query("score_points", _points_sql())

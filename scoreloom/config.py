@@ -97,7 +97,3 @@ SEARCH_BOUNDS = {
 }
 INTEGER_PARAMETERS = ("max_depth", "n_estimators", "num_leaves", "min_child_samples")
 
-# Levels one string column may bring to the feature matrix (one column each) and to a
-# profile (one row each; the rows of one variable are summed up in one window).
-MAX_ENCODED_LEVELS = 200
-MAX_PROFILE_LEVELS = 10_000

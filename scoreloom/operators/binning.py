@@ -6,6 +6,7 @@ snapshot share these scans, and only per-bin counts come out of the last one.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -22,6 +23,7 @@ from .prepare import OTHER_LEVEL, count_levels, discover_levels
 TRAIN, TEST = "TRAIN", "TEST"
 TYPE = "data_type"
 LEAF_ROWS = 2_000_000
+PLACE_DIGITS = 12  # hexadecimal digits of a level that place it: 48 bits, exact in a double
 EDGE_RANGES = 256
 INF = float("inf")
 
@@ -303,15 +305,15 @@ def fit_bins(
     quantiles: Sequence[float] = config.QUANTILES,
     special_values: Sequence[float] = config.SPECIAL_VALUES,
     approximate: bool = False,
-    max_levels: int = config.MAX_PROFILE_LEVELS,
+    max_levels: int | None = None,
     overflow: str = "error",
     levels_from: DataFrame | None = None,
     **options,
 ) -> Bins:
     """Learn the bins of all variables of ``df``.
 
-    ``levels_from`` (default ``df``) holds all rows that will be counted: no text variable may have
-    more than ``max_levels`` levels there, as its bins are summed up in one window.
+    Text variables may have any number of levels. With ``max_levels`` one that has more in the rows that
+    will be counted (``levels_from``, default ``df``) is refused, or cut with ``overflow="other"``.
     """
     categorical, numerical = variable_types(df, exclude)
     specials: dict[str, list[float]] = {}
@@ -323,10 +325,11 @@ def fit_bins(
         else:
             edges = quantile_edges(df, numerical, quantiles, special_values, pool_rows, **options)
     rows = df if levels_from is None else levels_from
-    wide = [n for n, levels in count_levels(rows, categorical).items() if levels > max_levels]
+    counted = count_levels(rows, categorical) if max_levels is not None else {}
+    wide = [n for n, levels in counted.items() if levels > max_levels]
     if wide and overflow == "error":
         raise ValueError(f"More than {max_levels} levels in column(s) {', '.join(wide)}.")
-    kept, _ = discover_levels(rows, wide, max_levels, overflow)
+    kept = discover_levels(rows, wide, max_levels, overflow)[0] if wide else {}
     return Bins(edges, specials, tuple(categorical), kept)
 
 
@@ -376,30 +379,49 @@ def _grid(counts: DataFrame, bins: Bins) -> DataFrame:
 def with_measures(binned: DataFrame) -> DataFrame:
     """Shares, running sums, IV per bin and IV per variable.
 
-    Input: ``variable, bin_order, count, bad``, one row per bin. Windows see the bins of one
-    variable, never source rows.
+    Input: ``variable, bin_order, count, bad``, one row per interval. The windows see the intervals of
+    one variable, never source rows.
     """
     whole = Window.partitionBy("variable")
     upward = whole.orderBy("bin_order").rowsBetween(Window.unboundedPreceding, 0)
-    share = lambda part: ratio(F.col(part), F.sum(part).over(whole))
-    running = lambda part: F.sum(part).over(upward)
-    return (
-        binned.withColumn("good", F.col("count") - F.col("bad"))
-        .withColumns(
-            {
-                "cumulative_bad": running("bad"),
-                "cumulative_good": running("good"),
-                "total_ratio": share("count"),
-                "bad_rate": ratio(F.col("bad"), F.col("count")),
-                "bad_ratio": share("bad"),
-                "good_ratio": share("good"),
-                "cumulative_bad_ratio": ratio(running("bad"), F.sum("bad").over(whole)),
-                "cumulative_good_ratio": ratio(running("good"), F.sum("good").over(whole)),
-            }
-        )
-        .withColumn("iv_1", divergence(F.col("good_ratio"), F.col("bad_ratio")))
-        .withColumn("iv", F.sum("iv_1").over(whole))
-    )
+    summed = binned.withColumn("good", F.col("count") - F.col("bad"))
+    summed = summed.withColumns({f"cumulative_{n}": F.sum(n).over(upward) for n in ("bad", "good")})
+    summed = summed.withColumns({f"whole_{n}": F.sum(n).over(whole) for n in ("count", "bad", "good")})
+    return _shares(summed).withColumn("iv", F.sum("iv_1").over(whole))
+
+
+def _shares(summed: DataFrame) -> DataFrame:
+    """Shares and IV terms from counts, running sums and totals."""
+    share = lambda part, n: ratio(F.col(part), F.col(f"whole_{n}"))
+    return summed.withColumns(
+        {
+            "total_ratio": share("count", "count"),
+            "bad_rate": ratio(F.col("bad"), F.col("count")),
+            "bad_ratio": share("bad", "bad"),
+            "good_ratio": share("good", "good"),
+            "cumulative_bad_ratio": share("cumulative_bad", "bad"),
+            "cumulative_good_ratio": share("cumulative_good", "good"),
+        }
+    ).withColumn("iv_1", divergence(F.col("good_ratio"), F.col("bad_ratio")))
+
+
+def _level_place(levels: DataFrame) -> tuple[DataFrame, list[float]]:
+    """Number levels in their order by the bytes behind what all levels of a variable begin with.
+
+    The least and the largest level of a variable share that beginning with all others, so two texts
+    per variable reach the driver. Levels of equal number are ordered by themselves.
+    """
+    ends = levels.groupBy("variable").agg(
+        F.hex(F.min("bin")).alias("low"), F.hex(F.max("bin")).alias("high"), F.count(F.lit(1)).alias("n")
+    ).collect()
+    skip = F.lit(0)
+    for row in ends:
+        same = len(os.path.commonprefix([row["low"], row["high"]]))
+        skip = F.when(F.col("variable") == row["variable"], F.lit(same)).otherwise(skip)
+    digits = F.rpad(F.substring(F.hex("bin"), skip + 1, F.lit(PLACE_DIGITS)), PLACE_DIGITS, "0")
+    placed = levels.withColumn("place", F.conv(digits, 16, 10).cast("double"))
+    rows = sum(r["n"] for r in ends)
+    return placed, ranges.split_points(placed, ["place"], rows, ranges.range_count(rows))["place"]
 
 
 SUMMARY_COLUMNS = (
@@ -418,11 +440,24 @@ def numerical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled", boun
 
 
 def categorical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled") -> DataFrame:
-    """One row per level, in level order."""
-    by_level = Window.partitionBy("variable").orderBy("bin")
-    levels = pooled(counts, scope).where(F.col("variable").isin(*bins.categorical))
-    ordered = levels.withColumn("bin_order", F.row_number().over(by_level) - 1).withColumn("bin_class", F.col("bin"))
-    return with_measures(ordered).select(*SUMMARY_COLUMNS)
+    """One row per level, in level order.
+
+    A variable may have as many levels as rows, so running sums go over ranges of levels and totals
+    through a join; no task gets all levels of a variable.
+    """
+    levels = pooled(counts, scope).where(F.col("variable").isin(*bins.categorical)).withColumns(
+        {"good": F.col("count") - F.col("bad"), "one": F.lit(1)}
+    )
+    placed, points = _level_place(levels)
+    running = ranges.running_totals(placed, ["variable"], "place", ["one", "bad", "good"], points, ties=["bin"])
+    totals = levels.groupBy("variable").agg(*[F.sum(n).alias(f"whole_{n}") for n in ("count", "bad", "good")])
+    summed = running.join(totals, "variable").withColumns({
+        "bin_order": (F.col("running_one") - 1).cast("int"), "bin_class": F.col("bin"),
+        "cumulative_bad": F.col("running_bad"), "cumulative_good": F.col("running_good"),
+    })
+    shares = _shares(summed)
+    iv = shares.groupBy("variable").agg(F.sum("iv_1").alias("iv"))
+    return shares.join(iv, "variable").select(*SUMMARY_COLUMNS)
 
 
 def binning_summary(counts: DataFrame, bins: Bins, scope: str = "pooled") -> DataFrame:

@@ -83,13 +83,16 @@ def band_summary(
 def band_combined(
     summary: DataFrame, split: str = "split", scale: str = "scale", base: str = "val", compare: str = "test"
 ) -> DataFrame:
-    """Bands of ``base`` beside those of ``compare``; bands only in ``compare`` are left out."""
-    measures = ("sample_count", "target_count", "composition_ratio", "target_rate")
-
-    def side(tag: str) -> DataFrame:
-        return summary.where(column(split) == tag).select(scale, *[F.col(m).alias(f"{m}_{tag}") for m in measures])
+    """Bands of ``base`` beside those of ``compare``; bands only in ``compare`` are left out.
 
-    return side(base).join(side(compare), scale, "left")
+    A summary has one row per split and band, so the maximum over a band's rows of a split is that row's
+    value; both sides come from one pass over the summary.
+    """
+    measures = ("sample_count", "target_count", "composition_ratio", "target_rate")
+    sides = [
+        F.max(F.when(column(split) == tag, F.col(m))).alias(f"{m}_{tag}") for tag in (base, compare) for m in measures
+    ]
+    return summary.groupBy(column(scale)).agg(*sides).where(F.col(f"sample_count_{base}").isNotNull())
 
 
 def score_psi(combined: DataFrame, base: str = "val", compare: str = "test") -> DataFrame:

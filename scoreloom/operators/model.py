@@ -25,6 +25,7 @@ log = logging.getLogger(__name__)
 MODEL_TYPES = ("xgb", "lgb")
 UNSUPPORTED = ("reg_alpha", "reg_lambda", "num_leaves")
 MAX_INFO_GAIN = 0.05
+MAX_DEPTH = 30
 GAMMA_RANGE = 10.0
 LABEL, FEATURES = "__label", "__features"
 TRAIN_DEFAULTS = {"max_depth": 6, "learning_rate": 0.1, "n_estimators": 100}
@@ -46,9 +47,11 @@ def gbt_params(params: Mapping[str, float]) -> dict:
     if ignored:
         log.warning("Parameters without an MLlib counterpart are ignored: %s", ", ".join(ignored))
     p = {**TRAIN_DEFAULTS, **as_integers(params)}
+    if p["max_depth"] > MAX_DEPTH:
+        raise ValueError(f"max_depth {p['max_depth']} is above MLlib's limit of {MAX_DEPTH}.")
     leaf_rows = p.get("min_child_samples", p.get("min_child_weight", 1))
     settings = {
-        "maxDepth": min(int(p["max_depth"]), 30),
+        "maxDepth": int(p["max_depth"]),
         "stepSize": float(p["learning_rate"]),
         "maxIter": int(p["n_estimators"]),
         "subsamplingRate": float(p.get("subsample", 1.0)),
@@ -218,7 +221,8 @@ def search(
     one job does not leave executors idle. Pass stored frames: every trial reads them again.
     """
     check_model_type(model_type)
-    draws = draw_params(bounds or config.SEARCH_BOUNDS[model_type], trials, seed)
+    wanted = bounds or config.SEARCH_BOUNDS[model_type]
+    draws = draw_params({k: v for k, v in wanted.items() if k not in UNSUPPORTED}, trials, seed)
 
     def run(number: int) -> Trial:
         learner = Learner(tuple(features), draws[number], target, options=dict(options or {}))

@@ -66,22 +66,23 @@ def count_levels(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
 def discover_levels(
     df: DataFrame,
     names: Sequence[str],
-    max_levels: int = config.MAX_ENCODED_LEVELS,
+    max_levels: int | None = None,
     overflow: str = "error",
 ) -> tuple[dict[str, list[str]], frozenset[str]]:
     """Sorted levels of each text column (NULL is not one), and the columns with gathered levels.
 
-    One pass, and about ``max_levels`` rows per column reach the driver. ``overflow="other"``
-    keeps the ``max_levels - 1`` most frequent levels of a column with more and gathers the rest
-    under one level.
+    One pass. Every level becomes a column, so all levels reach the driver. ``max_levels`` sets a bound,
+    beyond which ``overflow="error"`` raises and ``overflow="other"`` keeps the ``max_levels - 1`` most
+    frequent levels of a column and gathers the rest under one level.
     """
     if overflow not in ("error", "other"):
         raise ValueError("overflow must be 'error' or 'other'.")
     if not names:
         return {}, frozenset()
     counts = _level_counts(df, names)
-    allowed = len(names) * max_levels
-    if overflow == "other":
+    if max_levels is None:
+        found_rows = counts.collect()
+    elif overflow == "other":
         # First per slice of the levels, then overall: no task ranks all levels of a wide column.
         ranked = counts.withColumn("slice", F.pmod(F.xxhash64("level"), F.lit(RANKING_SLICES)))
         for groups in (("variable", "slice"), ("variable",)):
@@ -89,19 +90,18 @@ def discover_levels(
             ranked = ranked.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= max_levels + 1)
         found_rows = ranked.select("variable", "level", "n").collect()
     else:
-        # One row more than all columns may have together shows that some column has too many.
-        found_rows = counts.limit(allowed + 1).collect()
-        if len(found_rows) > allowed:
-            raise ValueError(f"More than {max_levels} levels in one of the columns {', '.join(names)}.")
+        per_name = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("levels"))
+        wide = sorted(r["variable"] for r in per_name.where(F.col("levels") > max_levels).collect())
+        if wide:
+            raise ValueError(f"More than {max_levels} levels in column(s) {', '.join(wide)}.")
+        found_rows = counts.collect()
     found: dict[str, list[tuple[int, str]]] = {n: [] for n in names}
     for row in found_rows:
         found[row["variable"]].append((-row["n"], row["level"]))
 
     levels, gathered = {}, set()
     for name, rows in found.items():
-        if len(rows) > max_levels:
-            if overflow == "error":
-                raise ValueError(f"More than {max_levels} levels in column {name}.")
+        if max_levels is not None and len(rows) > max_levels:
             gathered.add(name)
             rows = sorted(rows)[: max_levels - 1]
         levels[name] = sorted({level for _, level in rows} - ({OTHER_LEVEL} if name in gathered else set()))
@@ -148,7 +148,7 @@ class FeatureEncoder:
         keep: Sequence[str] | None = None,
         spec: SnapshotSpec = DEFAULT_SPEC,
         exclude: Sequence[str] = (),
-        max_levels: int = config.MAX_ENCODED_LEVELS,
+        max_levels: int | None = None,
         overflow: str = "error",
         names: Mapping[str, str] | None = None,
     ) -> "FeatureEncoder":
@@ -250,9 +250,8 @@ def split_exact(
     """Add ``split``: ``val`` for exactly ``ceil(share * rows)`` rows, ``train`` for the others."""
     hashed = df.withColumn("__hash", seeded_hash(seed, spec.customer_id))
     wanted = math.ceil(share * df.count())
-    threshold = ranges.hash_threshold(hashed, "__hash", spec.customer_id, wanted)
-    chosen = F.lit(False) if threshold is None else ranges.up_to_threshold("__hash", spec.customer_id, threshold)
-    return hashed.withColumn("split", F.when(chosen, "val").otherwise("train")).drop("__hash")
+    chosen, others = ranges.first_by_hash(hashed, "__hash", wanted)
+    return chosen.withColumn("split", F.lit("val")).unionByName(others.withColumn("split", F.lit("train"))).drop("__hash")
 
 
 @dataclass(frozen=True)

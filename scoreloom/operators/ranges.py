@@ -11,18 +11,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expressions import column, double_array, quoted
 
-MAX_RANGES = 4096
+MAX_RANGES = 16_384
 ROWS_PER_RANGE = 1_000_000
 SKETCH_PRECISION = 10
 SKETCH_ROWS = 5_000_000
 HEX_DIGITS_PER_PASS = 4
-THRESHOLD_LEAF = 10_000
+HASH_DIGITS = 32
+TIE = "__tie"
 
 
 def range_count(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
@@ -75,11 +78,13 @@ def running_totals(
     order: str,
     measures: Sequence[str],
     points: Sequence[float],
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``running_<measure>``: the sum over all rows of the group up to this ``order`` value.
 
-    ``df`` has one row per group and non-null ``order`` value (a double), so equal values were
-    summed before and a frequent value is one row.
+    ``df`` has one row per group, non-null ``order`` value (a double) and ``ties``, columns that order
+    rows of equal value; so equal rows were summed before and a frequent value is one row. NULL is
+    a group of its own.
     """
     ranged = with_ranges(df, {order: points}, "__range")
     place = [*groups, order + "__range"]
@@ -88,12 +93,13 @@ def running_totals(
         Window.partitionBy(*groups).orderBy(order + "__range").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = totals.select(
-        *place, *[F.coalesce(F.sum(f"__sum_{m}").over(earlier), F.lit(0)).alias(f"__before_{m}") for m in measures]
+        *[column(n).alias(f"__at_{n}") for n in place], *[F.coalesce(F.sum(f"__sum_{m}").over(earlier), F.lit(0)).alias(f"__before_{m}") for m in measures]
     )
-    inside = Window.partitionBy(*place).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*place).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(m).over(inside).alias(f"__inside_{m}") for m in measures])
     # No hint: the totals are groups x ranges rows, and adaptive execution broadcasts them when small.
-    return local.join(before, place).select(
+    same = reduce(and_, [column(n).eqNullSafe(column(f"__at_{n}")) for n in place])
+    return local.join(before, same).select(
         *[column(n) for n in df.columns],
         *[(F.col(f"__before_{m}") + F.col(f"__inside_{m}")).alias(f"running_{m}") for m in measures],
     )
@@ -102,16 +108,16 @@ def running_totals(
 def positions(df: DataFrame, bucket: Column, order: Sequence[str], name: str = "position") -> DataFrame:
     """Number all rows 1..n by ``order``; ``bucket`` must not decrease along that order.
 
-    Only the rows of one bucket meet in one task.
+    Only the rows of one bucket meet in one task. Rows whose bucket is NULL come last.
     """
     bucketed = df.withColumn("__bucket", bucket)
     counts = bucketed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__rows"))
-    earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("__bucket", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    earlier = Window.orderBy(F.col("__bucket").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("__bucket").alias("__at"), F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
     inside = Window.partitionBy("__bucket").orderBy(*[column(n) for n in order])
     return (
         bucketed.withColumn("__inside", F.row_number().over(inside))
-        .join(before, "__bucket")
+        .join(before, F.col("__bucket").eqNullSafe(F.col("__at")))
         .select(*[column(n) for n in df.columns], (F.col("__before") + F.col("__inside")).alias(name))
     )
 
@@ -121,35 +127,39 @@ def hash_bucket(hash_column: str, digits: int = 4) -> Column:
     return F.substring(column(hash_column), 1, digits)
 
 
-def hash_threshold(df: DataFrame, hash_column: str, key: str, k: int, leaf: int = THRESHOLD_LEAF):
-    """``(hash, key)`` of the k-th row in hash order, or None when there are fewer rows.
+def first_by_hash(df: DataFrame, hash_column: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``k`` rows in the order of a hex hash, and the others; exact, repeated hashes included.
 
     Each pass counts rows by the next hex digits and keeps the one prefix that holds row k, so no
-    pass sorts the table and the driver sees at most 16 ** 4 counts, then ``leaf`` rows.
+    pass sorts the table and the driver sees at most 16 ** 4 counts. Rows that share the hash of
+    row k are told apart by their other columns; only those are ordered. NULL hashes are never first.
     """
-    if k <= 0:
-        return None
-    prefix, rest = "", df.select(column(hash_column).alias("h"), column(key).alias("k")).where("h IS NOT NULL")
-    while len(prefix) < 32:
+    h = column(hash_column)
+    prefix, left = "", k
+    while 0 < left and len(prefix) < HASH_DIGITS:
         width = len(prefix) + HEX_DIGITS_PER_PASS
-        counts = rest.groupBy(F.substring("h", 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        found = None
-        for row in sorted(counts.collect()):
-            if k <= row["n"]:
-                found = row
+        counts = (
+            df.where(h.startswith(prefix)).groupBy(F.substring(h, 1, width).alias("p"))
+            .agg(F.count(F.lit(1)).alias("n")).collect()
+        )
+        for row in sorted(counts):
+            if left <= row["n"]:
+                prefix = row["p"]
                 break
-            k -= row["n"]
-        if found is None:
-            return None
-        prefix, rest = found["p"], rest.where(F.col("h").startswith(found["p"]))
-        if found["n"] <= leaf:
-            break
-    if prefix and found["n"] > leaf:
-        raise ValueError(f"More than {leaf} rows share one {key!r}; positions need unique keys.")
-    return tuple(rest.orderBy("h", "k").limit(k).collect()[-1])
-
-
-def up_to_threshold(hash_column: str, key: str, threshold) -> Column:
-    """True for the rows up to and including the one ``hash_threshold`` found."""
-    h, k = column(hash_column), column(key)
-    return (h < F.lit(threshold[0])) | ((h == F.lit(threshold[0])) & (k <= F.lit(threshold[1])))
+            left -= row["n"]
+        else:
+            return df.where(h.isNotNull()), df.where(h.isNull())
+        if left == row["n"]:  # the prefix belongs to the first rows as a whole
+            return df.where(F.substring(h, 1, width) <= prefix), df.where(h.isNull() | (F.substring(h, 1, width) > prefix))
+    if left <= 0:
+        return df.limit(0), df
+    below, above = df.where(h < prefix), df.where(h.isNull() | (h > prefix))
+    tied = df.where(h == prefix)
+    if hash_column != TIE:
+        rows = tied.withColumn(TIE, F.md5(F.to_json(F.struct(*map(column, df.columns)))))
+        first, others = (part.drop(TIE) for part in first_by_hash(rows, TIE, left))
+    else:  # equal in every column: any of them will do, so they are numbered
+        numbered = tied.withColumn("__place", F.row_number().over(Window.orderBy(TIE)))
+        first = numbered.where(F.col("__place") <= left).drop("__place")
+        others = numbered.where(F.col("__place") > left).drop("__place")
+    return below.unionByName(first), above.unionByName(others)

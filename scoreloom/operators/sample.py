@@ -11,6 +11,8 @@ from ..functions.expressions import column
 from ..functions.hashing import random_code, seeded_hash
 from . import ranges
 
+ORDERED_ROWS = 10_000
+
 
 def key_table(
     spark: SparkSession, num_samples: int, month: str, seed: int = 1, spec: SnapshotSpec = DEFAULT_SPEC
@@ -30,10 +32,15 @@ def keep_positive(df: DataFrame, name: str) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
-    """``n`` rows drawn by seeded hash of a unique key (all rows when there are fewer)."""
+    """``n`` rows drawn by seeded hash of a key (all rows when there are fewer); rows without key are not drawn.
+
+    A small sample is one pass that keeps the first rows; a large one is found by counting hashes.
+    """
     hashed = df.withColumn("__hash", seeded_hash(seed, key))
-    threshold = ranges.hash_threshold(hashed, "__hash", key, n)
-    chosen = hashed if threshold is None else hashed.where(ranges.up_to_threshold("__hash", key, threshold))
+    if n <= ORDERED_ROWS:
+        chosen = hashed.where(F.col("__hash").isNotNull()).orderBy("__hash", *map(column, df.columns)).limit(n)
+    else:
+        chosen, _ = ranges.first_by_hash(hashed, "__hash", n)
     return chosen.drop("__hash")
 
 
@@ -54,6 +61,8 @@ def feature_source(
 def positional_join(keys: DataFrame, features: DataFrame, key: str, feature_key: str, seed: int = 1) -> DataFrame:
     """Put the i-th feature row (in hash order) beside the i-th key; keys without a partner stay.
 
+    NULL keys come after all others. Feature rows without a key are not used.
+
     Both sides are numbered per bucket, so no task sorts a whole side.
     """
     ordered = keys.withColumn("__order", column(key).cast("double"))
@@ -64,7 +73,7 @@ def positional_join(keys: DataFrame, features: DataFrame, key: str, feature_key:
         F.col("__order_range"), [key],
     ).drop("__order", "__order_range")
     right = ranges.positions(
-        features.withColumn("__hash", seeded_hash(seed, feature_key)),
+        features.withColumn("__hash", seeded_hash(seed, feature_key)).where(F.col("__hash").isNotNull()),
         ranges.hash_bucket("__hash"), ["__hash", feature_key],
     ).drop("__hash")
     return left.join(right, "position", "left").drop("position")

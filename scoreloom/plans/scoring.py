@@ -35,7 +35,10 @@ class ScoringRun:
         )
 
     def run(self, snapshot: DataFrame, month: str | None = None) -> DataFrame:
-        """Write the scored table and return the grade distribution of what was written."""
+        """Write the scored table and return the grade distribution of what was written.
+
+        Without ``month`` these are the months of the snapshot; others that the folder holds do not count.
+        """
         if month is not None:
             snapshot = snapshot.where(F.col(self.spec.month) == month)
         ok, message = validate_score_data(snapshot, self.spec)
@@ -43,6 +46,12 @@ class ScoringRun:
             raise ValueError(message)
         path = write_scores(self.scored(snapshot), self.output, self.score_type, self.spec)
         written = snapshot.sparkSession.read.parquet(path).where(F.col("score_type") == self.score_type)
-        if month is not None:
-            written = written.where(F.col(self.spec.month).cast("string") == month)
+        months = [month] if month is not None else [
+            r[0] for r in snapshot.select(F.col(self.spec.month).cast("string")).distinct().collect()
+        ]
+        # A list of months prunes the folders that are read; it is as long as the snapshot has months.
+        named = [m for m in months if m is not None]
+        own = F.col(self.spec.month).cast("string")
+        mine = own.isin(*named) if named else F.lit(False)
+        written = written.where(mine | own.isNull() if None in months else mine)
         return grade_distribution(written, self.score_type)

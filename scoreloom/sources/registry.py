@@ -1,4 +1,7 @@
-"""Model registry: append-only parquet tables keyed by ``model_name``.
+"""Model registry: parquet tables with one partition per ``model_name``.
+
+Registering a name again replaces its rows, so a retried run leaves what one run leaves. The results
+row is written last and marks a model as complete; ``latest`` sees complete models only.
 
 Importance and parameter tables have one row per feature or parameter, the results table one row
 per model, so all of them stay small whatever the size of the snapshots.
@@ -38,25 +41,26 @@ class ModelRegistry:
     def _table(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def _append(self, rows: Iterable[tuple], schema: str, name: str) -> None:
-        frame = self.spark.createDataFrame(list(rows), schema)
-        frame.coalesce(1).write.mode("append").parquet(self._table(name))
+    def _put(self, rows: Iterable[tuple], schema: str, name: str) -> None:
+        frame = self.spark.createDataFrame(list(rows), schema).coalesce(1)
+        writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("model_name").parquet(self._table(name))
 
     # -- writing -----------------------------------------------------------------------------
 
     def append_result(self, name, model_type, num_cols, validation_roc, refit_roc, test_roc) -> None:
-        self._append(
+        self._put(
             [(name, model_type, num_cols, validation_roc, refit_roc, test_roc)], RESULTS_SCHEMA, "results"
         )
 
     def append_importance(self, name: str, rows: Iterable[tuple[str, float, int, float]]) -> None:
-        self._append(
+        self._put(
             [(name, i, v, float(imp), int(split), float(gain)) for i, (v, imp, split, gain) in enumerate(rows)],
             IMPORTANCE_SCHEMA, "importance",
         )
 
     def append_params(self, name: str, params: Mapping[str, float]) -> None:
-        self._append([(name, k, float(v)) for k, v in params.items()], PARAMS_SCHEMA, "params")
+        self._put([(name, k, float(v)) for k, v in params.items()], PARAMS_SCHEMA, "params")
 
     def append_encoder(self, name: str, encoder: FeatureEncoder) -> None:
         """The fitted encoding, so that scoring never learns levels from the month it scores."""
@@ -67,24 +71,28 @@ class ModelRegistry:
             rows.append(
                 (name, i, n, f and f.source, f and f.level, list(f.known) if f and f.known is not None else None)
             )
-        self._append(rows, ENCODER_SCHEMA, "encoders")
+        self._put(rows, ENCODER_SCHEMA, "encoders")
 
     def save_model(self, name: str, model: PipelineModel) -> None:
         model.write().overwrite().save(self._table(f"models/{name}"))
 
     # -- reading -----------------------------------------------------------------------------
 
+    def _read(self, schema: str, name: str) -> DataFrame:
+        names = [c.split()[0] for c in schema.split(", ")]
+        return self.spark.read.schema(schema).parquet(self._table(name)).select(*names)
+
     def results(self) -> DataFrame:
-        return self.spark.read.schema(RESULTS_SCHEMA).parquet(self._table("results"))
+        return self._read(RESULTS_SCHEMA, "results")
 
     def importance(self) -> DataFrame:
-        return self.spark.read.schema(IMPORTANCE_SCHEMA).parquet(self._table("importance"))
+        return self._read(IMPORTANCE_SCHEMA, "importance")
 
     def params(self) -> DataFrame:
-        return self.spark.read.schema(PARAMS_SCHEMA).parquet(self._table("params"))
+        return self._read(PARAMS_SCHEMA, "params")
 
     def encoder(self, name: str, spec: SnapshotSpec = DEFAULT_SPEC) -> FeatureEncoder:
-        table = self.spark.read.schema(ENCODER_SCHEMA).parquet(self._table("encoders"))
+        table = self._read(ENCODER_SCHEMA, "encoders")
         rows = table.where(F.col("model_name") == name).orderBy("position").collect()
         return FeatureEncoder(
             spec,

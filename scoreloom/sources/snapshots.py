@@ -15,9 +15,9 @@ def read_snapshot(
     fmt: str | None = None,
     spec: SnapshotSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Snapshot table with header names, NaN turned to NULL and the month kept as text.
+    """Snapshot table with header names, NaN turned to NULL, and month, dates and times kept as text.
 
-    CSV without ``schema`` costs one extra pass for type inference.
+    Text is what makes a date categorical, as any other code. CSV without ``schema`` costs one extra pass for type inference.
     """
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     reader = spark.read
@@ -28,7 +28,8 @@ def read_snapshot(
     df = nan_to_null(reader.format(fmt).load(path))
     if spec.month in df.columns and not isinstance(df.schema[spec.month].dataType, T.StringType):
         df = df.withColumn(spec.month, column(spec.month).cast("string"))
-    return df
+    moments = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return df.withColumns({f.name: column(f.name).cast("string") for f in df.schema if isinstance(f.dataType, moments)})
 
 
 def read_month(spark: SparkSession, path: str, month: str, spec: SnapshotSpec = DEFAULT_SPEC) -> DataFrame:

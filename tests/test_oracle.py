@@ -6,9 +6,7 @@ import pathlib
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
-
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from scoreloom.catalog import QUERIES, SQL
 
 
 def plain(value):

@@ -307,14 +307,53 @@ def test_splits_do_not_depend_on_partitions(spark, partitions):
     assert hash_below(0.3) == "4ccccccd"
 
 
-def test_threshold_passes(spark):
+def test_first_rows_by_hash(spark):
     frame = spark.range(3000).select(F.col("id").alias("k"), F.md5(F.col("id").cast("string")).alias("h"))
-    order = sorted((r["h"], r["k"]) for r in frame.collect())
-    for leaf in (1, 50, 10_000):
-        for k in (1, 2, 1234, 3000):
-            assert ranges.hash_threshold(frame, "h", "k", k, leaf) == order[k - 1]
-    assert ranges.hash_threshold(frame, "h", "k", 3001) is None
-    assert ranges.hash_threshold(frame, "h", "k", 0) is None
+    order = [r["k"] for r in sorted(frame.collect(), key=lambda r: (r["h"], r["k"]))]
+    for k in (0, 1, 2, 1234, 3000, 3001):
+        first, others = ranges.first_by_hash(frame, "h", k)
+        assert {r["k"] for r in first.collect()} == set(order[:k])
+        assert sorted(r["k"] for r in others.collect()) == sorted(order[k:])
+
+
+def test_first_rows_of_repeated_and_missing_keys(spark):
+    """Exact numbers where many rows share a key, differ elsewhere or not at all, or have none."""
+    rows = [(i % 10, i % 3) for i in range(100)] + [(3, 1)] * 20 + [(None, 1)] * 5
+    frame = spark.createDataFrame(rows, "customer_id bigint, x bigint")
+    hashed = frame.withColumn("h", F.md5(F.col("customer_id").cast("string")))
+    for k in (1, 5, 33, 47, 119, 120, 125):
+        first, others = ranges.first_by_hash(hashed, "h", k)
+        assert (first.count(), others.count()) == (min(k, 120), 125 - min(k, 120))
+    split = prepare.split_exact(frame)
+    assert split.where("split = 'val'").count() == 38 and split.count() == 125
+    for n in (5, 33, 200):
+        assert sample.sample_rows(frame, n, "customer_id").count() == min(n, 120)
+
+
+def test_missing_groups_and_keys_stay(spark):
+    frame = spark.createDataFrame([(None, 1.0, 2), (None, 2.0, 3), ("a", 1.0, 4)], "g string, v double, n bigint")
+    for points in ([], [1.5]):
+        got = sorted(((r["g"], r["running_n"]) for r in ranges.running_totals(frame, ["g"], "v", ["n"], points).collect()), key=repr)
+        assert got == sorted([(None, 2), (None, 5), ("a", 4)], key=repr)
+    keys = spark.createDataFrame([(1,), (None,), (2,)], "k bigint")
+    features = spark.createDataFrame([(10, "x"), (None, "y"), (11, "z")], "f bigint, s string")
+    joined = {r["k"]: r["s"] for r in sample.positional_join(keys, features, "k", "f").collect()}
+    assert set(joined) == {1, 2, None} and joined[None] is None and {joined[1], joined[2]} == {"x", "z"}
+
+
+def test_any_number_of_levels(spark):
+    """A profile and an encoding of a column with far more levels than others, running sums over many ranges."""
+    rows = [(f"customer-{i:06d}", "ab"[i % 2], i % 3 % 2, "TRAIN") for i in range(12_000)]
+    frame = spark.createDataFrame(rows, "wide string, s string, PERF int, data_type string")
+    bins = binning.fit_bins(frame)
+    summary = binning.categorical_summary(binning.bin_counts(frame, bins), bins).where("variable = 'wide'").orderBy("bin").collect()
+    assert [r["bin_order"] for r in summary] == list(range(12_000))
+    bad = 0
+    for r in summary:
+        bad += r["bad"]
+        assert r["cumulative_bad"] == bad
+    encoded = prepare.one_hot(frame.where("wide < 'customer-000400'").drop("data_type"))
+    assert len([c for c in encoded.columns if c.startswith("wide_")]) == 400
 
 
 def test_running_totals_and_positions(spark):
