@@ -16,6 +16,7 @@ from ..operators import evaluate, model as learning
 from ..operators.prepare import Prepared, prepare_development
 from ..operators.score import with_probability
 from ..plans.development import DevelopmentRun, train_and_register
+from ..plans.evaluation import EvaluationRun
 from ..plans.scoring import ScoringRun
 from ..sources import tables
 from ..sources.registry import ModelRegistry, model_name
@@ -155,6 +156,38 @@ def monthly_scoring_stump(spark, folder):
     return found.withColumn("general_percentage", F.round("general_percentage", 6))
 
 
+EVALUATED = STUMP_SQL + """, rated AS (
+  SELECT e.split, e.PERF, CASE WHEN e.value <= b.cut THEN b.below ELSE b.above END AS s
+  FROM (SELECT split, PERF, name, value FROM (
+          SELECT CASE WHEN data_type = 'TEST' THEN 'test' ELSE 'val' END AS split, PERF, {features}
+          FROM encoded WHERE data_type = 'TEST' OR is_val)
+        UNPIVOT (value FOR name IN ({names}))) e JOIN best b ON e.name = b.name
+), per_score AS (
+  SELECT split, s, count(*) FILTER (WHERE PERF = 1) AS pos, count(*) FILTER (WHERE PERF = 0) AS neg FROM rated GROUP BY split, s
+), ranked AS (SELECT *, sum(neg) OVER (PARTITION BY split ORDER BY s) AS upto FROM per_score)
+SELECT r.split, round(sum(pos * (upto - neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS roc_auc,
+       (SELECT count(*) FROM rated x WHERE x.split = r.split) AS n_rows
+FROM ranked r GROUP BY r.split""".format(
+    features=", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in STUMP_FEATURES), names=", ".join(STUMP_FEATURES))
+
+
+@query("evaluate_registered", EVALUATED)
+def evaluate_registered(spark, folder):
+    """A registered model, loaded by name with its encoder, measured on both snapshots."""
+    few, fitted = _stump(spark, folder)
+    registry = ModelRegistry(spark, fresh_path(spark, "registry"))
+    name = model_name("xgb", MOMENT)
+    registry.save_model(name, fitted.model)
+    registry.append_encoder(name, few.encoder)
+    registry.append_importance(name, [(n, 0.0, 0, 0.0) for n in few.encoder.names])
+    registry.append_result(name, "xgb", len(few.encoder.names), 0.5, 0.5, 0.5)
+    result = EvaluationRun(registry, name).run(*stored_both(spark, folder))
+    rows = result.scored.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    auc = spark.createDataFrame(
+        [("val", result.validation_roc), ("test", result.test_roc)], "split string, roc_auc double")
+    return auc.join(rows, "split").select("split", F.round("roc_auc", 6).alias("roc_auc"), "n_rows")
+
+
 @query("tune_random")
 def tune_random(spark, folder):
     return _tuned(spark, folder, "xgb")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.expressions import as_number, insert_column
 from ..operators import binning, ranges
-from ..sources import tables
+from ..sources import snapshots as io, tables
 from ..sources.snapshots import write_table
 from ..sources.workspace import fresh_path, stored
 from .base import (
@@ -91,6 +91,45 @@ def dist_prefix_sum(spark, folder):
     return ranges.running_totals(counts, ["variable"], "value", ["rows"], points)
 
 
+def _levels_sql(level: str) -> str:
+    return f"""WITH levels AS (
+  SELECT {level} AS bin, count(*) AS count, CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS bad FROM orders GROUP BY 1
+), summed AS (
+  SELECT *, count - bad AS good, sum(bad) OVER (ORDER BY bin) AS cumulative_bad, sum(count - bad) OVER (ORDER BY bin) AS cumulative_good,
+         sum(bad) OVER () AS all_bad, sum(count - bad) OVER () AS all_good FROM levels
+), terms AS (
+  SELECT *, CASE WHEN bad = 0 OR good = 0 THEN 0.0
+                 ELSE (good / all_good - bad / all_bad) * ln((good / all_good) / (bad / all_bad)) END AS term FROM summed
+)
+SELECT bin, CAST(row_number() OVER (ORDER BY bin) - 1 AS INTEGER) AS bin_order, count, bad,
+       CAST(cumulative_bad AS BIGINT) AS cumulative_bad, CAST(cumulative_good AS BIGINT) AS cumulative_good,
+       round(term, 6) AS iv_1, round(sum(term) OVER (), 6) AS iv FROM terms"""
+
+
+def _levels(rows: DataFrame, exclude=("PERF", binning.TYPE)) -> DataFrame:
+    tagged = rows.withColumn(binning.TYPE, F.lit(binning.TRAIN))
+    bins = binning.fit_bins(tagged, exclude=exclude)
+    summary = binning.categorical_summary(binning.bin_counts(tagged, bins), bins)
+    return rounded(summary.select("bin", "bin_order", "count", "bad", "cumulative_bad", "cumulative_good", "iv_1", "iv"))
+
+
+@query("iv_wide_levels", _levels_sql("'order-' || CAST(o_orderkey AS VARCHAR)"))
+def iv_wide_levels(spark, folder):
+    """A text variable with about as many levels as there are orders."""
+    return _levels(tables.table(spark, folder, "orders").select(
+        F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("code"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("PERF"),
+    ))
+
+
+@query("iv_date_levels", _levels_sql("strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"))
+def iv_date_levels(spark, folder):
+    """Order dates that went through a CSV file, its types inferred: dates are text, and so categorical."""
+    orders = tables.table(spark, folder, "orders").select("o_orderdate", (F.col("o_orderstatus") == "F").cast("int").alias("PERF"))
+    path = io.write_csv(orders, f"{fresh_path(spark, 'dates')}.csv")
+    return _levels(io.read_snapshot(spark, path))
+
+
 # -- edges and bins ---------------------------------------------------------------------------
 
 EDGES = f"""WITH {SNAPSHOT},{NUMBERS},{edges_sql()}

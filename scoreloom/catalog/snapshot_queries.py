@@ -205,6 +205,30 @@ def validate_all_months(spark, folder):
     return validate.validate_all({names[t]: tables.snapshot(spark, folder, t) for t in names})
 
 
+@query(
+    "validate_every_month",
+    """
+WITH rows AS (
+  SELECT strftime(o_orderdate, '%Y%m') AS snapshot, o_custkey AS customer,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 1 END AS target FROM orders
+), per_customer AS (
+  SELECT snapshot, customer, count(*) AS n, max(CASE WHEN target IS NULL THEN 1 ELSE 0 END) AS missing FROM rows GROUP BY 1, 2
+), per_month AS (SELECT snapshot, max(n) AS n, max(missing) AS missing FROM per_customer GROUP BY 1)
+SELECT snapshot, n = 1 AND missing = 0 AS ok,
+       CASE WHEN n > 1 THEN 'Duplicate values found in ''customer_id''.'
+            WHEN missing = 1 THEN 'Target data (''PERF'') contains NULL.' ELSE 'Data is valid.' END AS message
+FROM per_month""",
+)
+def validate_every_month(spark, folder):
+    """Every month of all orders as a snapshot, checked in one scan; most months have customers with two orders."""
+    rows = tables.table(spark, folder, "orders").select(
+        F.date_format("o_orderdate", "yyyyMM").alias("base_ym"), F.col("o_custkey").alias("customer_id"),
+        F.md5(F.col("o_custkey").cast("string")).alias("customer_hash"),
+        F.when(F.col("o_orderstatus") != "P", 1).alias("PERF"),
+    )
+    return validate.validate_by_month(rows)
+
+
 # -- preparation ------------------------------------------------------------------------------
 
 
@@ -353,11 +377,11 @@ def filter_positive(spark, folder):
 
 @query(
     "gen_snapshot_keys",
-    "SELECT '200107' AS base_ym, i AS customer_id, substr(md5(concat('1:', CAST(i AS VARCHAR))), 1, 10) AS customer_hash "
-    "FROM (SELECT unnest(range(1, (SELECT count(*) FROM customer) + 1)) AS i)",
+    "SELECT '200107' AS base_ym, c_custkey AS customer_id, "
+    "substr(md5(concat('1:', CAST(c_custkey AS VARCHAR))), 1, 10) AS customer_hash FROM customer",
 )
 def gen_snapshot_keys(spark, folder):
-    return sample.key_table(spark, tables.table(spark, folder, "customer").count(), "200107")
+    return sample.key_table_of(tables.table(spark, folder, "customer"), "c_custkey", "200107")
 
 
 SAMPLE_SIZE = 500

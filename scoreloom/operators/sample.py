@@ -26,6 +26,15 @@ def key_table(
     )
 
 
+def key_table_of(
+    customers: DataFrame, key: str, month: str, seed: int = 1, spec: SnapshotSpec = DEFAULT_SPEC
+) -> DataFrame:
+    """Month constant, the customers' own ids and a repeatable 10-character code per id."""
+    ids = customers.select(column(key).alias(spec.customer_id))
+    return ids.select(
+        F.lit(month).alias(spec.month), column(spec.customer_id), random_code(seed, spec.customer_id).alias(spec.customer_hash))
+
+
 def keep_positive(df: DataFrame, name: str) -> DataFrame:
     """Rows with a value above 0; NULL and NaN are not."""
     return df.where((column(name) > 0) & ~F.isnan(column(name).cast("double")))

@@ -36,7 +36,9 @@ def has_duplicates(df: DataFrame, names: Sequence[str]) -> bool:
     return not duplicate_keys(df, names).isEmpty()
 
 
-def _flags(df: DataFrame, snapshot: str, scoring: bool, spec: SnapshotSpec, id_type: str | None) -> DataFrame:
+def _flags(
+    df: DataFrame, snapshot: str, scoring: bool, spec: SnapshotSpec, id_type: str | None, month: Column | None = None
+) -> DataFrame:
     """What the checks need of one snapshot that has its keys: customer ids and two null flags per row."""
     def any_missing(names: Sequence[str]) -> Column:
         return reduce(lambda a, b: a | b, [is_missing(df, n) for n in names], F.lit(False))
@@ -44,7 +46,7 @@ def _flags(df: DataFrame, snapshot: str, scoring: bool, spec: SnapshotSpec, id_t
     check_target = not scoring and spec.target in df.columns
     customer = column(spec.customer_id)
     return df.select(
-        F.lit(snapshot).alias("snapshot"),
+        (F.lit(snapshot) if month is None else month).alias("snapshot"),
         (customer.cast(id_type) if id_type else customer).alias("customer"),
         any_missing(spec.keys).cast("int").alias("null_key"),
         any_missing((spec.target,) if check_target else ()).cast("int").alias("null_target"),
@@ -95,7 +97,39 @@ def validate_all(
     else:
         facts = facts.select("*", *[F.lit(0).alias(c) for c in ("null_key", "duplicate", "null_target")])
 
-    failure = (
+    failure = _failure(spec)
+    return facts.select(
+        "snapshot", failure.isNull().alias("ok"), F.coalesce(failure, F.lit(config.VALID)).alias("message")
+    )
+
+
+def validate_by_month(df: DataFrame, spec: SnapshotSpec = DEFAULT_SPEC, scoring: bool = False) -> DataFrame:
+    """First failing rule of each month of one table as ``(snapshot, ok, message)``, from a single scan.
+
+    Presence of columns is a matter of the whole table. A NULL month is a snapshot without name.
+    """
+    if not has_columns(df, spec.keys):
+        found = df.select(*[column(n) for n in (spec.month,) if n in df.columns]).distinct()
+        month = column(spec.month) if spec.month in df.columns else F.lit(None)
+        return found.select(month.cast("string").alias("snapshot"), F.lit(False).alias("ok"), F.lit(config.MISSING_KEYS).alias("message"))
+    flags = _flags(df.withColumn("__month", column(spec.month).cast("string")), "", scoring, spec, None, F.col("__month"))
+    per_customer = flags.groupBy("snapshot", "customer").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("null_key").alias("null_key"), F.max("null_target").alias("null_target"))
+    found = per_customer.groupBy("snapshot").agg(
+        F.max("null_key").alias("null_key"),
+        F.max((F.col("n_rows") > 1).cast("int")).alias("duplicate"),
+        F.max("null_target").alias("null_target"),
+    )
+    facts = found.withColumns({"has_keys": F.lit(True), "has_target": F.lit(spec.target in df.columns), "scoring": F.lit(scoring)})
+    failure = _failure(spec)
+    return facts.select(
+        "snapshot", failure.isNull().alias("ok"), F.coalesce(failure, F.lit(config.VALID)).alias("message")
+    )
+
+
+def _failure(spec: SnapshotSpec) -> Column:
+    """Message of the first rule that fails, NULL when all hold."""
+    return (
         F.when(~F.col("has_keys"), F.lit(config.MISSING_KEYS))
         .when(F.col("null_key") == 1, F.lit(config.NULL_KEYS))
         .when(F.col("duplicate") == 1, F.lit(config.DUPLICATE_ID.format(id=spec.customer_id)))
@@ -103,9 +137,6 @@ def validate_all(
         .when(~F.col("scoring") & ~F.col("has_target"), F.lit(config.NO_TARGET.format(target=spec.target)))
         .when(F.col("null_target") == 1, F.lit(config.NULL_TARGET.format(target=spec.target)))
     )
-    return facts.select(
-        "snapshot", failure.isNull().alias("ok"), F.coalesce(failure, F.lit(config.VALID)).alias("message")
-    )
 
 
 def validate_modeling_data(df: DataFrame, spec: SnapshotSpec = DEFAULT_SPEC) -> tuple[bool, str]:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
-from datetime import datetime
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.ml.base import Transformer
 from pyspark.sql import DataFrame, functions as F
 
 from .. import config
 from ..config import DEFAULT_SPEC, SnapshotSpec
+from ..functions.expressions import column
 from ..operators import binning, evaluate, model as learning
 from ..operators.prepare import Prepared, prepare_development
 from ..operators.score import with_probability
@@ -37,6 +38,7 @@ class Evaluation:
     psi: float
     summary: DataFrame
     combined: DataFrame
+    scored: DataFrame
 
 
 @dataclass(frozen=True)
@@ -79,21 +81,27 @@ def train_and_register(
 
 def evaluate_model(prepared: Prepared, model: Transformer) -> Evaluation:
     """AUC on validation and test rows, band table and score stability, from one scoring pass."""
-    target = prepared.encoder.spec.target
+    spec = prepared.encoder.spec
+    target = spec.target
     rows = prepared.data.where(F.col("split").isin("val", "test"))
-    scored = stored(
-        evaluate.with_band(with_probability(rows, model)).select("split", target, "probability", "scale"), "scored"
-    )
+    banded = evaluate.with_band(with_probability(rows, model))
+    scored = stored(banded.select(*map(column, spec.keys), "split", target, "probability", "scale"), "scored")
     auc = {r["split"]: r["roc_auc"] for r in evaluate.roc_auc(scored, label=target, groups=["split"]).collect()}
     summary = evaluate.band_summary(scored, target=target)
     combined = evaluate.band_combined(summary)
     psi = evaluate.score_psi(combined).first()["psi"]
-    return Evaluation(auc.get("val"), auc.get("test"), psi, summary, combined)
+    return Evaluation(auc.get("val"), auc.get("test"), psi, summary, combined, scored)
 
 
 @dataclass(frozen=True)
 class DevelopmentRun:
-    """Settings of a run; ``moment`` and the later ``retrain_moment`` name the two models."""
+    """Settings of a run; ``moment`` and the later ``retrain_moment`` name the first and last models.
+
+    ``profile_options`` go to the profile (quantiles, special values, edges, scope, levels), and
+    ``prepare_options`` to the encoding (exact split, levels). ``selections`` says how often variables
+    without importance are dropped and the model is trained again; the models between the first and
+    the last are named a second apart.
+    """
 
     registry: ModelRegistry
     output: str
@@ -107,6 +115,9 @@ class DevelopmentRun:
     strict: bool = True
     min_iv: float | None = None
     max_psi: float | None = None
+    profile_options: Mapping = field(default_factory=dict)
+    prepare_options: Mapping = field(default_factory=dict)
+    selections: int = 1
 
     def run(self, train: DataFrame, test: DataFrame) -> DevelopmentResult:
         messages = {}
@@ -115,8 +126,10 @@ class DevelopmentRun:
             if not ok and self.strict:
                 raise ValueError(f"{tag}: {messages[tag]}")
 
+        # Profile and encodings pass over the snapshots many times: a text file is parsed once.
+        train, test = stored(train, "train"), stored(test, "test")
         run_id = self.moment.strftime("%y%m%d_%H%M%S")
-        profiled = binning.profile(train, test, self.spec)
+        profiled = binning.profile(train, test, self.spec, **self.profile_options)
         write_table(binning.variable_iv(profiled.summary), self.output, "iv", run_id)
         write_table(binning.variable_psi(profiled.psi_bins), self.output, "psi", run_id)
         write_table(profiled.summary, self.output, "binning_summary", run_id)
@@ -128,18 +141,21 @@ class DevelopmentRun:
             keep = [n for n in train.columns if n in names]
 
         base = self._train(train, test, keep, self.moment)
-        useful = (
-            self.registry.importance()
-            .where((F.col("model_name") == base.name) & (F.col("importance") > 0))
-            .orderBy("position").select("variable").collect()
-        )
-        final = self._train(train, test, [r[0] for r in useful] or keep, self.retrain_moment)
+        final = base
+        for number in range(self.selections):
+            useful = (
+                self.registry.importance()
+                .where((F.col("model_name") == final.name) & (F.col("importance") > 0))
+                .orderBy("position").select("variable").collect()
+            )
+            moment = self.retrain_moment - timedelta(seconds=self.selections - 1 - number)
+            final = self._train(train, test, [r[0] for r in useful] or keep, moment)
         return DevelopmentResult(
             messages, profiled, base, final, evaluate_model(final.prepared, final.fitted.model)
         )
 
     def _train(self, train, test, keep, moment) -> TrainedModel:
-        prepared = prepare_development(train, test, keep, self.spec)
+        prepared = prepare_development(train, test, keep, self.spec, **self.prepare_options)
         prepared = Prepared(stored(prepared.data, "prepared", "split"), prepared.encoder)
         return train_and_register(
             prepared, self.registry, model_name(self.model_type, moment), self.model_type,
