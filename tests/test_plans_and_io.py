@@ -16,10 +16,10 @@ from scoreloom.plans.development import DevelopmentRun
 from scoreloom.plans.scoring import ScoringRun
 from scoreloom.sources import snapshots as io, tables
 from scoreloom.sources.registry import ModelRegistry, model_name
+from scoreloom.catalog import QUERIES, SQL
 from scoreloom.sources.workspace import fresh_path, shared_folder, stored
 from scoreloom.streaming.scoring import read_stream, score_stream, write_stream
 
-QUERIES = contract.queries()
 
 
 def plan(df):
@@ -174,5 +174,37 @@ def test_hot_group_is_split_over_ranges(spark):
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.count() > 0 and {"probability", "score", "grade"} <= set(frame.columns)
-    assert set(contract.oracle_sql()) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert not [n for n in QUERIES if n.startswith("op") or "pipeline" in n]
+
+
+def test_shared_folder(spark, monkeypatch):
+    """The folder of the session, else that of the context, else one of its own in local mode only."""
+    from types import SimpleNamespace
+
+    def session(conf, directory, master):
+        made = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: directory, setCheckpointDir=made.append)
+        options = dict(conf)
+        return SimpleNamespace(
+            sparkContext=context, conf=SimpleNamespace(get=lambda k, d: options.get(k, d), set=options.__setitem__)), made
+
+    named = {"spark.checkpoint.dir": "hdfs://x/y"}
+    fake, made = session(named, None, "yarn")
+    assert shared_folder(fake) == "hdfs://x/y" and made == ["hdfs://x/y"]
+    assert shared_folder(session({}, "hdfs://set/here", "yarn")[0]) == "hdfs://set/here"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session({}, None, "spark://host:7077")[0])
+    assert shared_folder(session({}, None, "local[4]")[0])
+
+
+def test_scoring_reports_its_own_months(spark, tiny_dir):
+    """What another month left in the folder does not count, and a repeated run changes nothing."""
+    found = QUERIES["monthly_scoring_stump"](spark, tiny_dir).collect()
+    assert sum(r["general_count"] for r in found) == QUERIES["prep_scoring"](spark, tiny_dir).count()
+
+
+@pytest.mark.parametrize("name,scans", [("eval_psi", 1), ("eval_band_combined", 1), ("validate_every_month", 1)])
+def test_sources_are_scanned_once(spark, tiny_dir, name, scans):
+    assert plan(QUERIES[name](spark, tiny_dir)).count("FileScan") == scans
