@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.workspace import stored
-from .graph import sized
+from .graph import BROADCAST_ROWS, sized
 from .text import SHINGLE, packed, shingle_hashes, unpacked, word_hashes
 
 THRESHOLD = 0.8
@@ -44,9 +44,14 @@ def block_keys(fingerprint: str) -> Column:
 
 
 def similarity(left: str, right: str) -> Column:
-    """Weighted Jaccard of two arrays of shingle hashes, the count of a shingle being its weight."""
-    both = ("aggregate(array_distinct(v.r), 0, (a, h) -> a + "
-            "least(size(filter(v.l, x -> x = h)), size(filter(v.r, x -> x = h))))")
+    """Weighted Jaccard of two arrays of shingle hashes, the count of a shingle being its weight.
+
+    Where no shingle repeats the common ones are a set; else each is counted on both sides.
+    """
+    counted = ("aggregate(array_distinct(v.r), 0, (a, h) -> a + "
+               "least(size(filter(v.l, x -> x = h)), size(filter(v.r, x -> x = h))))")
+    once = "size(array_distinct(v.l)) = size(v.l) AND size(array_distinct(v.r)) = size(v.r)"
+    both = f"CASE WHEN {once} THEN size(array_intersect(v.l, v.r)) ELSE {counted} END"
     shared = f"transform(array(struct({left} AS l, {right} AS r)), v -> {both})[0]"
     return F.expr(f"transform(array({shared}), m -> m / (size({left}) + size({right}) - m))[0]")
 
@@ -90,21 +95,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     probes = stored(_probes(items), "leak_probes")
     shared = items.agg(F.sum("n")).first()[0] or 0
     passes = max(1, -(-shared // ANCHOR_ROWS))
-    prepared = docs.select("doc_id", word_hashes(F.col("text")).alias("hashes"))
     found = []
     for k in range(passes):
         mine = items.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(passes)) == k)
         anchors = mine.select(F.explode("shingles").alias("anchor"), "n").distinct()
-        found.append(_windows(prepared, anchors, threshold))
-    windows = reduce(DataFrame.unionAll, found).withColumn("print", simhash("window"))
+        found.append(_starts(docs, anchors, threshold))
+    starts = stored(reduce(DataFrame.unionAll, found), "leak_starts")
+    windows = _windows(docs, starts).withColumn("print", simhash("window"))
     met = (
-        windows.select("*", F.posexplode(block_keys("print")).alias("block", "key"))
-        .join(probes, ["n", "block", "key"])
+        windows.select("*", F.posexplode_outer(block_keys("print")).alias("block", "key"))
+        .join(sized(probes), ["n", "block", "key"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
     )
     compared = (
         met.select("doc_id", "start", "window", "item_id", "part")
-        .join(items.select("item_id", "part", F.col("shingles").alias("wanted")), ["item_id", "part"])
+        .join(sized(items).select("item_id", "part", F.col("shingles").alias("wanted")), ["item_id", "part"])
         .withColumn("shingles", shingle_hashes(F.col("window")))
         .withColumn("similarity", similarity("shingles", "wanted"))
         .where(F.col("similarity") >= threshold)
@@ -118,19 +123,46 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     )
 
 
-def _windows(prepared: DataFrame, anchors: DataFrame, threshold: float) -> DataFrame:
-    """doc_id, n, start and word hashes of all windows that can reach the threshold."""
+def _row() -> Column:
+    """Tells apart the texts of equal doc_id."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _starts(docs: DataFrame, anchors: DataFrame, threshold: float) -> DataFrame:
+    """Where windows that can reach the threshold begin: doc_id, row, starts (n, low, high).
+
+    Every window is named once, by the first shared shingle in it: the windows of a shingle begin
+    behind the one before.
+    """
     spread = F.floor(F.col("n") - 2 * F.col("n") * threshold / (1 + threshold) + 1e-9).cast("int")
+    before = F.lag("at").over(Window.partitionBy("doc_id", "row", "n").orderBy("at"))
     last = F.greatest(F.lit(0), F.col("count") - F.col("n"))
-    first = F.greatest(F.lit(0), F.col("at") - spread)
-    # A window of a short document holds all of it, so it may begin further before the shared shingle.
-    first = F.when(F.col("count") <= F.col("n"), F.lit(0)).otherwise(F.least(first, last))
+    low = F.greatest(F.lit(0), F.col("at") - spread, F.coalesce(F.col("before") + 1, F.lit(0)))
+    # A document no longer than the item is one window, however far its first shared shingle is from its beginning.
+    low = F.when((F.col("count") <= F.col("n")) & F.col("before").isNull(), F.lit(0)).otherwise(low)
     # The outer form keeps Spark from filtering on the array first, which would compute it twice.
     return (
-        prepared.withColumn("shingles", shingle_hashes(F.col("hashes")))
-        .select("doc_id", "hashes", F.size("shingles").alias("count"), F.posexplode_outer("shingles").alias("at", "anchor"))
+        docs.select("doc_id", _row().alias("row"), shingle_hashes(word_hashes(F.col("text"))).alias("shingles"))
+        .select("doc_id", "row", F.size("shingles").alias("count"), F.posexplode_outer("shingles").alias("at", "anchor"))
         .join(F.broadcast(anchors), "anchor")
-        .select("doc_id", "n", "hashes", F.explode(F.sequence(first, F.least(F.col("at"), last))).alias("start"))
+        .select("doc_id", "row", "n", "count", "at").withColumn("before", before)
+        .select("doc_id", "row", F.struct("n", low.alias("low"), F.least(F.col("at"), last).alias("high")).alias("range"))
+        .where("range.low <= range.high")
+        .groupBy("doc_id", "row").agg(F.collect_list("range").alias("starts"))
+    )
+
+
+def _windows(docs: DataFrame, starts: DataFrame) -> DataFrame:
+    """doc_id, n, start and word hashes of the windows; only documents with some are read beyond the join."""
+    ranges = starts.agg(F.sum(F.size("starts"))).first()[0] or 0
+    named = starts.select(F.col("doc_id").alias("id"), F.col("row").alias("of"), "starts")
+    named = F.broadcast(named) if ranges <= BROADCAST_ROWS else named
+    return (
+        docs.select("doc_id", "text", _row().alias("row"))
+        .join(named, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("of")))
+        .select("doc_id", word_hashes(F.col("text")).alias("hashes"), "starts")
+        .select("doc_id", "hashes", F.explode("starts").alias("range"))
+        .select("doc_id", "range.n", "hashes", F.explode(F.sequence("range.low", "range.high")).alias("start"))
         .select("doc_id", "n", "start", F.slice("hashes", F.col("start") + 1, F.col("n") + SHINGLE - 1).alias("window"))
     )
 
