@@ -26,8 +26,8 @@ from .score_queries import GRADES
 
 SMALL = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5}
 SMALL_BOUNDS = {"max_depth": (2, 3), "learning_rate": (0.1, 0.2), "n_estimators": (3, 5), "subsample": (0.8, 1)}
-# Far more rounds than the patience, at a step that overfits: the validation measure stops the fit.
-STOPPED = {"max_depth": 3, "learning_rate": 0.3, "n_estimators": 40}
+# Far more rounds than the patience: the validation measure stops the fit.
+STOPPED = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 40}
 STUMP = {"max_depth": 1, "learning_rate": 0.1, "n_estimators": 1}
 STUMP_FEATURES = (
     "is_overdrawn", "n_urgent", "region_key",

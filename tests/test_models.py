@@ -17,13 +17,13 @@ def rows(spark, folder, name):
 @pytest.mark.parametrize("name", ["train_gbt", "train_gbt_lgb_preset", "retrain_selected"])
 def test_models_beat_chance(spark, small_dir, name):
     auc = {r["split"]: r["roc_auc"] for r in rows(spark, small_dir, name)}
-    assert set(auc) == {"train", "val", "test"} and auc["test"] > 0.55
+    assert set(auc) == {"train", "val", "test"} and auc["test"] > 0.6
 
 
 def test_validation_stops_the_fit(spark, small_dir):
     """The best round lies more than the patience before the last, so the loss has stopped the fit."""
     rounds = {r["rounds"] for r in rows(spark, small_dir, "train_gbt")}
-    assert len(rounds) == 1 and 1 < rounds.pop() <= STOPPED["n_estimators"] - 10
+    assert len(rounds) == 1 and 1 <= rounds.pop() <= STOPPED["n_estimators"] - 10
 
 
 def test_search_orders_trials(spark, small_dir):
