@@ -24,7 +24,6 @@ _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 CONTEXT_WORDS = 8
 CONTEXT_CHARS = 160
-LEAST_CONTEXTS = 3  # different contexts in which a term must stand beside an entity
 DISCLOSURE = 0.9  # least share of an entity's information that a disclosing term carries
 
 _SPAN = "struct<start:int,rank:int,kind:string,end:int,value:string>"
@@ -99,40 +98,73 @@ def with_base(docs: DataFrame) -> DataFrame:
     )
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, disclosure: float = DISCLOSURE,
-                     least_contexts: int = LEAST_CONTEXTS) -> DataFrame:
+def circle(name: Column) -> Column:
+    """What the entity shares with others: mail domain, network, card issuer, or a number without its last four digits."""
+    return (
+        F.when(name.startswith("email:"), F.regexp_replace(name, "^email:.*@", "email@"))
+        .when(name.startswith("ip:"), F.regexp_replace(name, r"^ip:(.*)\.[0-9]+$", "ip/$1"))
+        .when(name.startswith("card:"), F.concat(F.lit("card/"), F.substring(name, 6, 6)))
+        .otherwise(F.regexp_replace(name, "^phone:(.*)[0-9]{4}$", "phone/$1"))
+    )
+
+
+def _surprise(both: Column, left: Column, right: Column, total: Column) -> Column:
+    """Half the log-likelihood ratio of a table of two by two counts: e to its negative bounds the odds of chance."""
+    def part(x: Column) -> Column:
+        return F.when(x > 0, x * F.log(x)).otherwise(F.lit(0.0))
+
+    rest = F.greatest(F.lit(0), total - left - right + both)
+    total = both + (left - both) + (right - both) + rest
+    return (part(both) + part(left - both) + part(right - both) + part(rest) + part(total)
+            - part(left) - part(total - left) - part(right) - part(total - right))
+
+
+def disclosing_terms(docs: DataFrame, base: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """Terms (term, disclosure) that reveal a protected entity, from counts over the whole corpus.
 
     With N documents, n(e) of them holding entity e, n(t) term t and n(e,t) term t beside e, the term
     carries log(N n(e,t) / n(e) n(t)) of the log(N / n(e)) bits that e has. It discloses e from the share
-    ``disclosure`` on, 1 meaning that t stands nowhere but beside e. Copies of one passage are one piece
-    of evidence: t must stand beside e in ``least_contexts`` different surroundings.
+    ``disclosure`` on, 1 meaning that t stands nowhere but beside e. An entity is a value and also the
+    circle of all values of a mail domain, network, issuer or number prefix, so values that are
+    mentioned once count together.
+
+    Copies of one passage are one piece of evidence, a surrounding. The first one only names the pair of
+    e and t; the others must be too many for chance: their log-likelihood ratio has to exceed what the
+    best of all named pairs would reach by chance.
     """
     seen = base.select("doc_id", "key", F.explode("mentions").alias("m")).select(
         "doc_id", "key", "m.entity", "m.terms", F.xxhash64("m.terms").alias("context"))
+    seen = seen.withColumn("entity", F.explode(F.array("entity", circle(F.col("entity")))))
     beside = seen.select("doc_id", "key", "entity", "context", F.explode(F.array_distinct("terms")).alias("term"))
-    evident = (
+    named = stored(
         beside.select("entity", "term", "context").distinct()
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-        .where(F.col("contexts") >= least_contexts)
-    )
+        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")), "pii_named")
+    n_named = named.count()
     together = beside.select("entity", "term", "doc_id", "key").distinct().groupBy("entity", "term").agg(
         F.count(F.lit(1)).alias("n_both"))
-    pairs = stored(evident.join(together, ["entity", "term"]), "pii_pairs")
+    pairs = stored(named.where("contexts > 1").join(together, ["entity", "term"]), "pii_pairs")
     if pairs.isEmpty():  # no term can disclose anything, so nothing needs counting
         return pairs.select("term", F.lit(0.0).alias("disclosure")).where(F.lit(False))
     per_entity = seen.select("entity", "doc_id", "key").distinct().groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_entity"))
+    places = seen.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_contexts"))
+    per_entity = stored(per_entity.join(places, "entity"), "pii_entities")
     # Counted over all words first, so that no word of the text is shuffled more than once a task.
     per_term = docs.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n_term"))
     total = F.lit(float(base.count()))
     share = F.log(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))) / F.log(total / F.col("n_entity"))
+    # Documents in which the two stand beside each other count by their surroundings, and without the first.
+    again = F.col("contexts") - 1
+    surprise = _surprise(
+        again, F.col("n_contexts") - 1, F.greatest(again, F.col("n_term") - F.col("n_both") + again),
+        total - F.col("n_entity") + F.col("n_contexts") - 1)
     return (
-        pairs.join(per_entity, "entity").join(per_term, "term")
+        pairs.join(sized(per_entity), "entity").join(per_term, "term")
         .where(F.col("n_entity") < total)
         .withColumn("disclosure", F.least(F.lit(1.0), share))
         .where(F.col("disclosure") >= disclosure - 1e-12)
+        .where(surprise > F.log(F.lit(float(n_named))))
         .groupBy("term").agg(F.max("disclosure").alias("disclosure"))
     )
 

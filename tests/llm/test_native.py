@@ -228,3 +228,20 @@ def test_terms(spark):
     assert found[60] == "term:0:6" and found[10] == "" and "term" not in found[50]
     clean = {r.doc_id: r.text for r in pii.sanitise(frame).collect()}
     assert clean[12] == rows[6][1] and "[EMAIL]" in clean[2]
+
+
+def test_terms_of_rare_entities(spark):
+    """Values mentioned once or twice count: a firm's name beside its people's addresses, a nickname beside one number."""
+    rows = [(i, f"word{i} met Vexmor staff{i} p{i}@firm.net near{i}", "en", "s") for i in range(3)]
+    rows += [(10 + i, f"call{i} Qwyxal at{i} +49 30 1234567 soon{i}", "en", "s") for i in range(2)]
+    rows += [(20, "once Hapaxon sees lone@other.org here", "en", "s")]
+    rows += [(100 + i, f"met someone near item{i % 40} today", "en", "s") for i in range(400)]
+    frame = spark.createDataFrame(rows, DOCS)
+    terms = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("term")] for r in pii.find(frame).collect()}
+    for i in range(3):
+        at = rows[i][1].index("Vexmor")
+        assert terms[i] == [f"term:{at}:{at + 6}"]
+    for i in range(2):
+        at = rows[3 + i][1].index("Qwyxal")
+        assert terms[10 + i] == [f"term:{at}:{at + 6}"]
+    assert terms[20] == [] and not any(terms[100 + i] for i in range(400))
