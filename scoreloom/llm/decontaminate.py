@@ -1,60 +1,19 @@
-"""Benchmark decontamination: SimHash windows, multi-index Hamming blocks, exact similarity."""
+"""Benchmark decontamination: documents that share an item's rarer shingles, exact similarity of all windows."""
 
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.workspace import stored
-from .graph import BROADCAST_ROWS, sized
+from .graph import sized
 from .text import SHINGLE, packed, shingle_hashes, unpacked, word_hashes
 
 THRESHOLD = 0.8
-BLOCKS, BLOCK_BITS, FLIPS = 4, 16, 2
-RADIUS = BLOCKS * (FLIPS + 1) - 1  # two fingerprints this close differ by at most FLIPS bits in one of the blocks
-PART_WORDS = 1000  # longer items are compared in parts of even length up to this; counters hold 16 bits
+PART_WORDS = 1000  # longer items are compared in parts of even length up to this
 ANCHOR_ROWS = 1_000_000  # most item shingles that a pass broadcasts; more items take more passes
 
-# Ones in each 16-bit lane of a long, and bit 14 of each lane.
-_ONES = 0x0001000100010001
-_TOPS = 0x4000400040004000
-# All masks of a block with at most FLIPS bits set.
-_MASKS = [sum(1 << b for b in bits) for n in range(FLIPS + 1) for bits in combinations(range(BLOCK_BITS), n)]
-
-
-def simhash(hashes: str) -> Column:
-    """64-bit SimHash of a column of word hashes, each word with its count as weight.
-
-    A bit is set where more than half of the words have it. The counts of four bits stand in the
-    16-bit lanes of one long, so 16 sums over the words give all 64 counts.
-    """
-    counts = f"aggregate(x, 0L, (a, w) -> a + (shiftrightunsigned(w, g) & {_ONES}L))"
-    above = f"(({counts} + ({0x3FFF} - size(x) div 2) * {_ONES}L) & {_TOPS}L)"
-    bits = f"aggregate(sequence(0, 15), 0L, (f, g) -> f | shiftleft(shiftrightunsigned({above}, 14), g))"
-    return F.expr(f"transform(array({hashes}), x -> {bits})[0]")
-
-
-def block_keys(fingerprint: str) -> Column:
-    return F.array(*[
-        F.shiftrightunsigned(F.col(fingerprint), BLOCK_BITS * b).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
-        for b in range(BLOCKS)
-    ])
-
-
-def similarity(left: str, right: str) -> Column:
-    """Weighted Jaccard of two arrays of shingle hashes, the count of a shingle being its weight.
-
-    Where no shingle repeats the common ones are a set; else each is counted on both sides.
-    """
-    counted = ("aggregate(array_distinct(v.r), 0, (a, h) -> a + "
-               "least(size(filter(v.l, x -> x = h)), size(filter(v.r, x -> x = h))))")
-    once = "size(array_distinct(v.l)) = size(v.l) AND size(array_distinct(v.r)) = size(v.r)"
-    both = f"CASE WHEN {once} THEN size(array_intersect(v.l, v.r)) ELSE {counted} END"
-    shared = f"transform(array(struct({left} AS l, {right} AS r)), v -> {both})[0]"
-    return F.expr(f"transform(array({shared}), m -> m / (size({left}) + size({right}) - m))[0]")
-
 
 def item_parts(benchmark: DataFrame) -> DataFrame:
     """item_id, part, hashes of words, shingles and their number n for each part of an item.
@@ -80,44 +39,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
     A document leaks an item if a window of the item's length has, counting five-word shingles, a
     weighted Jaccard similarity of ``threshold`` or more with it; a document shorter than the item is one
-    window. Windows with too few words of an item in common are never formed: at similarity t a window of
-    n shingles shares at least 2nt/(1+t) with the item, so one of them is among the first
-    n - 2nt/(1+t) + 1, and every such window begins that close before a shared shingle. All these windows
-    get a SimHash of their words. Fingerprints of items are entered under their four 16-bit blocks, each
-    with all changes of up to two bits, so every pair within 11 bits meets in some block; pairs that meet
-    and are within the radius are compared exactly. The best window of a document and an item is returned.
+    window. At similarity t a window shares at least nt of the item's n shingles, so it holds one of any
+    n - nt + 1 of them: documents that hold one of an item's rarest are candidates, and all windows of a
+    candidate are compared exactly. The best window of a document and an item, the first of equals, is
+    returned.
 
     Null texts are empty; items of under five words match nothing; repeated items count once each by
     item_id, rows with equal doc_id are taken together; empty tables give no rows; further columns are
     ignored. Texts are processed whole.
     """
     items = stored(item_parts(benchmark), "leak_items")
-    probes = stored(_probes(items), "leak_probes")
-    shared = items.agg(F.sum("n")).first()[0] or 0
+    wanted = stored(_wanted(items, threshold), "leak_shingles")
+    shared = wanted.count()
     passes = max(1, -(-shared // ANCHOR_ROWS))
     found = []
     for k in range(passes):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(passes)) == k)
-        anchors = mine.select(F.explode("shingles").alias("anchor"), "n").distinct()
-        found.append(_starts(docs, anchors, threshold))
-    starts = stored(reduce(DataFrame.unionAll, found), "leak_starts")
-    windows = _windows(docs, starts).withColumn("print", simhash("window"))
-    met = (
-        windows.select("*", F.posexplode_outer(block_keys("print")).alias("block", "key"))
-        .join(sized(probes), ["n", "block", "key"])
-        .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    )
-    compared = (
-        met.select("doc_id", "start", "window", "item_id", "part")
-        .join(sized(items).select("item_id", "part", F.col("shingles").alias("wanted")), ["item_id", "part"])
-        .withColumn("shingles", shingle_hashes(F.col("window")))
-        .withColumn("similarity", similarity("shingles", "wanted"))
-        .where(F.col("similarity") >= threshold)
-    )
-    best = F.max(F.struct(
-        "similarity", (-F.col("start")).alias("before"), F.size("window").alias("n_words"),
-    )).alias("best")
-    return compared.groupBy("doc_id", "item_id").agg(best).select(
+        mine = wanted.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(passes)) == k)
+        candidates = stored(_candidates(docs, mine.where("rare")), "leak_candidates")
+        found.append(_best(_positions(docs, candidates, mine), threshold))
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n_words")).alias("best")
+    return reduce(DataFrame.unionAll, found).groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", F.col("best.similarity").alias("similarity"),
         (-F.col("best.before")).cast("bigint").alias("start"), F.col("best.n_words").cast("bigint").alias("n_words"),
     )
@@ -128,51 +69,79 @@ def _row() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def _starts(docs: DataFrame, anchors: DataFrame, threshold: float) -> DataFrame:
-    """Where windows that can reach the threshold begin: doc_id, row, starts (n, low, high).
+def _wanted(items: DataFrame, threshold: float) -> DataFrame:
+    """item_id, part, n, each shingle with its count ``times``, and whether it is one of the item's rarest.
 
-    Every window is named once, by the first shared shingle in it: the windows of a shingle begin
-    behind the one before.
+    The rarest are n - nt + 1 places of the item, so that no window of the similarity holds none of them.
     """
-    spread = F.floor(F.col("n") - 2 * F.col("n") * threshold / (1 + threshold) + 1e-9).cast("int")
-    before = F.lag("at").over(Window.partitionBy("doc_id", "row", "n").orderBy("at"))
-    last = F.greatest(F.lit(0), F.col("count") - F.col("n"))
-    low = F.greatest(F.lit(0), F.col("at") - spread, F.coalesce(F.col("before") + 1, F.lit(0)))
-    # A document no longer than the item is one window, however far its first shared shingle is from its beginning.
-    low = F.when((F.col("count") <= F.col("n")) & F.col("before").isNull(), F.lit(0)).otherwise(low)
+    each = items.select("item_id", "part", "n", F.explode("shingles").alias("shingle")).groupBy(
+        "item_id", "part", "n", "shingle").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    used = stored(each, "leak_each")
+    items_of = used.groupBy("shingle").agg(F.count(F.lit(1)).alias("n_items"))
+    order = Window.partitionBy("item_id", "part").orderBy("n_items", "shingle")
+    before = F.sum("times").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("times")
+    places = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
+    return used.join(items_of, "shingle").withColumn("rare", before < places).drop("n_items")
+
+
+def _candidates(docs: DataFrame, rare: DataFrame) -> DataFrame:
+    """doc_id, row, item_id, part of the documents that hold a rare shingle of an item."""
     # The outer form keeps Spark from filtering on the array first, which would compute it twice.
     return (
-        docs.select("doc_id", _row().alias("row"), shingle_hashes(word_hashes(F.col("text"))).alias("shingles"))
-        .select("doc_id", "row", F.size("shingles").alias("count"), F.posexplode_outer("shingles").alias("at", "anchor"))
-        .join(F.broadcast(anchors), "anchor")
-        .select("doc_id", "row", "n", "count", "at").withColumn("before", before)
-        .select("doc_id", "row", F.struct("n", low.alias("low"), F.least(F.col("at"), last).alias("high")).alias("range"))
-        .where("range.low <= range.high")
-        .groupBy("doc_id", "row").agg(F.collect_list("range").alias("starts"))
+        docs.select("doc_id", _row().alias("row"),
+                    F.explode_outer(F.array_distinct(shingle_hashes(word_hashes(F.col("text"))))).alias("shingle"))
+        .join(F.broadcast(rare.select("shingle", "item_id", "part")), "shingle")
+        .select("doc_id", "row", "item_id", "part").distinct()
     )
 
 
-def _windows(docs: DataFrame, starts: DataFrame) -> DataFrame:
-    """doc_id, n, start and word hashes of the windows; only documents with some are read beyond the join."""
-    ranges = starts.agg(F.sum(F.size("starts"))).first()[0] or 0
-    named = starts.select(F.col("doc_id").alias("id"), F.col("row").alias("of"), "starts")
-    named = F.broadcast(named) if ranges <= BROADCAST_ROWS else named
+def _positions(docs: DataFrame, candidates: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Shingles that a candidate shares with its item: where they stand (ats, in order) and their count in the item.
+
+    Only candidates' texts are read beyond the join.
+    """
+    named = candidates.groupBy("doc_id", "row").agg(F.collect_list(F.struct("item_id", "part")).alias("of"))
+    named = sized(stored(named.select(F.col("doc_id").alias("id"), F.col("row").alias("named"), "of"), "leak_named"))
+    holders = wanted.groupBy("shingle").agg(F.collect_list(F.struct("item_id", "part", "n", "times")).alias("items"))
+    own = F.filter("items", lambda i: F.array_contains("of", F.struct(i["item_id"], i["part"])))
+    whole = ["doc_id", "row", "item_id", "part", "n", "count"]
     return (
         docs.select("doc_id", "text", _row().alias("row"))
-        .join(named, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("of")))
-        .select("doc_id", word_hashes(F.col("text")).alias("hashes"), "starts")
-        .select("doc_id", "hashes", F.explode("starts").alias("range"))
-        .select("doc_id", "range.n", "hashes", F.explode(F.sequence("range.low", "range.high")).alias("start"))
-        .select("doc_id", "n", "start", F.slice("hashes", F.col("start") + 1, F.col("n") + SHINGLE - 1).alias("window"))
+        .join(named, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("named")))
+        .select("doc_id", "row", "of", shingle_hashes(word_hashes(F.col("text"))).alias("shingles"))
+        .select("doc_id", "row", "of", F.size("shingles").alias("count"), F.posexplode_outer("shingles").alias("at", "shingle"))
+        .join(F.broadcast(holders), "shingle")
+        .select("doc_id", "row", "count", "shingle", "at", F.explode(own).alias("i"))
+        .select("doc_id", "row", "i.item_id", "i.part", "i.n", "count", "shingle", "i.times", "at")
+        .groupBy(*whole, "shingle", "times").agg(F.array_sort(F.collect_set("at")).alias("ats"))
     )
 
 
-def _probes(items: DataFrame) -> DataFrame:
+def _best(positions: DataFrame, threshold: float) -> DataFrame:
+    """The best window of each document, item and part, if it reaches the threshold.
+
+    With a shingle of count c in the item, a place of it adds one to the windows that hold it and fewer
+    than c of its places before; these begin in one range. Adding up the ranges' ends gives the common
+    shingles of all windows, and the most begin where a range does.
+    """
+    last = F.greatest(F.lit(0), F.col("count") - F.col("n"))
+    ends = F.transform("ats", lambda at, i: F.struct(
+        F.greatest(F.lit(0), at - F.col("n") + 1, F.when(i >= F.col("times"), F.get("ats", i - F.col("times")) + 1)).alias("low"),
+        (F.least(at, last) + 1).alias("beyond")))
+    whole = ["doc_id", "row", "item_id", "part", "n", "count"]
+    ranges = positions.select(*whole, F.explode(F.filter(ends, lambda e: e["low"] < e["beyond"])).alias("e"))
+    steps = ranges.select(*whole, F.explode(F.array(
+        F.struct(F.col("e.low").alias("start"), F.lit(1).alias("step")),
+        F.struct(F.col("e.beyond").alias("start"), F.lit(-1).alias("step")))).alias("s")).groupBy(
+        *whole, F.col("s.start").alias("start")).agg(F.sum("s.step").alias("step"))
+    order = Window.partitionBy("doc_id", "row", "item_id", "part").orderBy("start").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    length = F.least("n", "count")
     return (
-        items.select("item_id", "part", "n", simhash("hashes").alias("item_print"))
-        .select("*", F.posexplode(block_keys("item_print")).alias("block", "own"))
-        .select("*", F.explode(F.array(*map(F.lit, _MASKS))).alias("mask"))
-        .select("item_id", "part", "n", "item_print", "block", F.col("own").bitwiseXOR(F.col("mask")).alias("key"))
+        steps.withColumn("common", F.sum("step").over(order))
+        .withColumn("similarity", F.col("common") / (F.col("n") + length - F.col("common")))
+        .where(F.col("similarity") >= threshold)
+        .select("doc_id", "item_id", "similarity", "start", (length + SHINGLE - 1).alias("n_words"))
     )
 
 

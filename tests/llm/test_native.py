@@ -245,3 +245,21 @@ def test_terms_of_rare_entities(spark):
         at = rows[3 + i][1].index("Qwyxal")
         assert terms[10 + i] == [f"term:{at}:{at + 6}"]
     assert terms[20] == [] and not any(terms[100 + i] for i in range(400))
+
+
+def test_cut_passages_are_leaks(spark):
+    """Passages that lack a part of the item at an end, just at the threshold, are found without loss."""
+    rng = random.Random(7)
+    docs, bench = [], []
+    for i in range(120):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(13 + i % 3 * 50)]
+        bench.append((i, " ".join(words)))
+        cut = (len(words) - 4) // 9
+        kept = [words[cut:], words[:-cut], words[cut // 2:len(words) - cut + cut // 2]][i // 3 % 3]
+        around = [f"x{rng.randint(0, 10**6)}" for _ in range(300)]
+        docs.append((i, " ".join(around[:150] + kept + around[150:]), "en", "s"))
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start, r.n_words) for r in decontaminate.leaks(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(bench, "item_id bigint, text string")).collect()}
+    want = {(i, i): s for i in range(120) if (s := best(docs[i][1], bench[i][1])) >= 0.8}
+    assert len(want) == 120 and set(got) == set(want)
+    assert all(abs(got[k][0] - s) < 1e-9 for k, s in want.items())
