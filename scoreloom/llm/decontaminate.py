@@ -11,26 +11,18 @@ from .graph import sized
 from .text import SHINGLE, packed, shingle_hashes, unpacked, word_hashes
 
 THRESHOLD = 0.8
-PART_WORDS = 1000  # longer items are compared in parts of even length up to this
 ANCHOR_ROWS = 1_000_000  # most item shingles that a pass broadcasts; more items take more passes
 
 
-def item_parts(benchmark: DataFrame) -> DataFrame:
-    """item_id, part, hashes of words, shingles and their number n for each part of an item.
+def item_shingles(benchmark: DataFrame) -> DataFrame:
+    """item_id, part (tells apart texts of equal item_id), shingles and their number n; items are taken whole.
 
     Items of fewer than five words have no shingle and are left out; a null text is empty.
     """
-    parts = F.greatest(F.lit(1), F.ceil(F.size("all") / PART_WORDS)).cast("int")
-    length = F.ceil(F.size("all") / F.col("parts")).cast("int")
     return (
-        benchmark.select("item_id", word_hashes(F.col("text")).alias("all"))
-        .where(F.size("all") >= SHINGLE)
-        .withColumn("parts", parts).withColumn("length", length)
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("hashes", F.slice("all", F.col("part") * F.col("length") + 1, F.col("length")))
-        .withColumn("shingles", shingle_hashes(F.col("hashes")))
-        .select("item_id", "part", "hashes", "shingles", F.size("shingles").alias("n"))
-        .where("n > 0")
+        benchmark.select("item_id", shingle_hashes(word_hashes(F.col("text"))).alias("shingles"))
+        .select("item_id", F.xxhash64("shingles").alias("part"), "shingles", F.size("shingles").alias("n"))
+        .where("n > 0").dropDuplicates(["item_id", "part"])
     )
 
 
@@ -48,7 +40,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     item_id, rows with equal doc_id are taken together; empty tables give no rows; further columns are
     ignored. Texts are processed whole.
     """
-    items = stored(item_parts(benchmark), "leak_items")
+    items = stored(item_shingles(benchmark), "leak_items")
     wanted = stored(_wanted(items, threshold), "leak_shingles")
     shared = wanted.count()
     passes = max(1, -(-shared // ANCHOR_ROWS))

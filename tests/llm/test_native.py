@@ -263,3 +263,28 @@ def test_cut_passages_are_leaks(spark):
     want = {(i, i): s for i in range(120) if (s := best(docs[i][1], bench[i][1])) >= 0.8}
     assert len(want) == 120 and set(got) == set(want)
     assert all(abs(got[k][0] - s) < 1e-9 for k, s in want.items())
+
+
+def test_long_items_are_compared_whole(spark):
+    """A half of an item above 1000 words is no leak; an item's repeated rows and texts count each by itself."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    long = [word() for _ in range(1301)]
+    cycle = " ".join(["one two three four five six seven"] * 160).split()
+    bench = [(1, " ".join(long)), (2, " ".join(cycle)), (3, "a b c d e f g h"), (3, "a b c d e f g h"), (3, "i j k l m n o p q")]
+    edited = list(long)
+    for at in range(30, 1301, 60):
+        edited[at] = word()
+    around = [word() for _ in range(150)]
+    texts = [long, long[:650], long[650:], long[:1100], around + long[200:] + around, around + edited + around,
+             around + cycle + around, cycle[:500], cycle[:1000] + around, "a b c d e f g h".split(), around + "i j k l m n o p q".split()]
+    docs = [(i, " ".join(t), "en", "s") for i, t in enumerate(texts)]
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(bench, "item_id bigint, text string")).collect()}
+    want = {}
+    for d in docs:
+        for i, t in bench:
+            if (s := best(d[1], t)) >= 0.8:
+                want[d[0], i] = max(s, want.get((d[0], i), 0))
+    assert set(got) == set(want) and (1, 1) not in got and len(want) >= 7
+    assert all(abs(got[k] - s) < 1e-9 for k, s in want.items())
