@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import chat, decontaminate, embeddings, jaccard, langid, licenses, mixing, pii, urls, warc
+from . import (
+    chat, decontaminate, embeddings, jaccard, langid, licenses, mixing, periodic, phrases, pii, quality, urls, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -144,3 +145,53 @@ def op4_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return licenses.scan(docs.select("doc_id", licenses.document_path().alias("path"), "text"))
+
+
+@query("op11_periodic")
+def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return periodic.digests(periodic.find(docs.select(
+        "doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))))
+
+
+@query("op12_phrases", sql=r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), p AS (
+    SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+), t AS (
+    SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang
+), g AS (
+    SELECT lang, k.size AS size, unnest(list_transform(range(1, len(words) - k.size + 2), lambda i: words[i:i + k.size - 1])) AS phrase
+    FROM w, (SELECT unnest(range(1, 6)) AS size) AS k WHERE len(words) >= k.size
+), f AS (
+    SELECT lang, size, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100
+), o AS (
+    SELECT lang, size, phrase, a FROM f AS c WHERE size > 1 AND NOT EXISTS (
+        SELECT 1 FROM f AS b, (SELECT unnest(range(0, 4)) AS at) AS x
+        WHERE b.lang = c.lang AND b.size > c.size AND x.at <= b.size - c.size
+            AND b.phrase[x.at + 1:x.at + c.size] = c.phrase AND 100 * b.a >= 100 * c.a)
+), u AS (
+    SELECT o.lang, o.phrase, o.a, h.a AS l, r.a AS r, t.n, k.cut,
+        CAST((1000 * CAST(o.a AS HUGEINT) * t.n) // (CAST(h.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM o JOIN t ON t.lang = o.lang JOIN (SELECT unnest(range(1, 5)) AS cut) AS k ON k.cut < o.size
+        JOIN f AS h ON h.lang = o.lang AND h.phrase = o.phrase[1:k.cut]
+        JOIN f AS r ON r.lang = o.lang AND r.phrase = o.phrase[k.cut + 1:]
+), s AS (
+    SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM u
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM s QUALIFY rank <= 2000
+""")
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.top(table(spark, folder, "documents"))
+
+
+@query("op13_quality")
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
