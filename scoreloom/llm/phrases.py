@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +24,10 @@ _KINDS = tokens.kinds(SPACES, BREAKS)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-STRIPES = "lang string, prefix string, following array<string>, counts array<bigint>"
-STRIPE_WORDS = 4096  # entries of a row of a stripe that leaves a task; longer stripes go on in the next row
+COUNTED = "length int, shelf int, hashes array<int>, counts array<int>"
+STRIPES = "stripes array<struct<lang:string,prefix:string,following:array<string>,counts:array<bigint>>>"
+STRIPE_WORDS = 4096  # entries of a stripe as a task hands it over; longer ones go on in a further stripe
+SHELVES = 1 << 12  # a phrase's hash has 44 bits: a shelf and 32 bits within it
 CHUNK_BITS = 1 << 16
 FEWEST_BITS, MOST_BITS = 1 << 20, 1 << 29
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -46,7 +47,7 @@ class Filter:
             self.table[chunk * CHUNK_BITS // 8: (chunk + 1) * CHUNK_BITS // 8] = np.frombuffer(body, np.uint8)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        place = hashes & self.mask
+        place = (hashes >> np.uint64(20)) & self.mask
         return (self.table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -57,121 +58,159 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 def _then(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The hash of a phrase with one more word."""
     mixed = (head ^ (head >> np.uint64(29))) * _FACTOR
-    return (mixed ^ (mixed >> np.uint64(32))) + word
-
-
-def _lists(keys: np.ndarray) -> np.ndarray:
-    """Where stripes begin among sorted keys: at a new key, and after STRIPE_WORDS entries."""
-    new = np.append(True, keys[1:] != keys[:-1])
-    begin = np.flatnonzero(new)
-    place = np.arange(len(keys)) - np.repeat(begin, np.diff(np.append(begin, len(keys))))
-    return np.flatnonzero(place % STRIPE_WORDS == 0)
-
-
-def _stripes_of(langs: pa.Array, texts: pa.Array, length: int, known: Filter | None) -> pa.RecordBatch:
-    """Stripes of prefixes of ``length`` - 1 words over some texts.
-
-    Only phrases are counted whose first and last ``length`` - 1 words pass the filter of the frequent ones. Those of one
-    word are the stripe of the empty prefix; a row without prefix holds the number of words of a language.
-    """
-    found = tokens.tokenise(texts, _KINDS, _LOWER)
-    coded = langs.dictionary_encode()
-    lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[found.doc]
-    width = len(found.distinct) + 1
-    at = np.arange(len(found.codes))
-    if length > 1 and len(at):
-        ids = _word_hashes(found.distinct.to_pylist())[found.codes]
-        head = _then(_word_hashes(coded.dictionary.to_pylist())[lang], ids)
-        whole = np.ones(len(at), bool)  # whether a phrase of so many words begins here
-        for k in range(1, length - 1):
-            whole[:-k] &= found.joined[k - 1:-1]
-            whole[-k:] = False
-            head[:-k] = _then(head[:-k], ids[k:])
-        frequent = whole & known.has(head)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) + word
+    return (mixed ^ (mixed >> np.uint64(31))) * _FACTOR
+
+
+class Pieces:
+    """The words of some texts with the hashes of the phrases that begin at them."""
+
+    def __init__(self, langs: pa.Array, texts: pa.Array):
+        self.found = tokens.tokenise(texts, _KINDS, _LOWER)
+        coded = langs.dictionary_encode()
+        self.langs = coded.dictionary
+        self.lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.found.doc]
+        self.ids = _word_hashes(self.found.distinct.to_pylist())[self.found.codes]
+        self.length = 1
+        self.head = _then(_word_hashes(self.langs.to_pylist())[self.lang], self.ids)
+        self.whole = np.ones(len(self.ids), bool)  # whether a phrase of ``length`` words begins here
+
+    def lengthen(self) -> None:
+        k = self.length
+        self.whole[:-k] &= self.found.joined[k - 1:-1]
+        self.whole[-k:] = False
+        self.head[:-k] = _then(self.head[:-k], self.ids[k:])
+        self.length += 1
+
+    def grown(self, known: Filter) -> np.ndarray:
+        """Where a phrase of one word more begins whose first and last ``length`` words pass the filter."""
+        frequent = self.whole & known.has(self.head)
         here = frequent.copy()
-        here[:-1] &= frequent[1:] & found.joined[:-1]
-        here[-1] = False
-        at = np.flatnonzero(here)
+        here[:-1] &= frequent[1:] & self.found.joined[:-1]
+        here[-1:] = False
+        return here
+
+
+def _shelved(pieces: Pieces, where: np.ndarray) -> pa.RecordBatch:
+    """How often each hash of a phrase at the given words occurs, by shelf."""
+    ids, counts = np.unique(pieces.head[where] >> np.uint64(20), return_counts=True)
+    shelf = (ids >> np.uint64(32)).astype(np.int32)
+    begins = np.flatnonzero(np.append(True, shelf[1:] != shelf[:-1])) if len(ids) else np.empty(0, np.int64)
+    bounds = pa.array(np.append(begins, len(ids)), pa.int32())
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(begins), pieces.length, np.int32)), pa.array(shelf[begins]),
+        pa.ListArray.from_arrays(bounds, pa.array(ids.astype(np.uint32).view(np.int32))),
+        pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int32))),
+    ], [c.split()[0] for c in COUNTED.split(", ")])
+
+
+def _stripes_here(pieces: Pieces, where: np.ndarray) -> list[pa.Array]:
+    """lang, prefix, following words and their counts: the stripes of the phrases at the given words."""
+    found, n = pieces.found, pieces.length
+    at, width = np.flatnonzero(where), len(pieces.found.distinct) + 1
     # The prefix as one number, then the prefix with the next word, each numbered anew to stay within 64 bits.
-    key = lang[at]
-    for k in range(length - 1):
+    key = pieces.lang[at]
+    for k in range(n - 1):
         _, key = np.unique(key * width + found.codes[at + k], return_inverse=True)
-    pairs, first, counts = np.unique(key * width + found.codes[at + length - 1], return_index=True, return_counts=True)
+    pairs, first, counts = np.unique(key * width + found.codes[at + n - 1], return_index=True, return_counts=True)
     keys, first = pairs // width, at[first]
-    begins = _lists(keys) if len(keys) else np.empty(0, np.int64)
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    place = np.arange(len(keys)) - np.repeat(new, np.diff(np.append(new, len(keys))))
+    begins = np.flatnonzero(place % STRIPE_WORDS == 0)
     bounds = pa.array(np.append(begins, len(keys)), pa.int32())
-    following = found.distinct.take(pa.array(found.codes[first + length - 1])).cast(pa.string())
-    heads = [found.distinct.take(pa.array(found.codes[first[begins] + k])).cast(pa.string()) for k in range(length - 1)]
-    prefix = pc.binary_join_element_wise(*heads, " ") if heads else pa.array([""] * len(begins), pa.string())
-    columns = [
-        coded.dictionary.take(pa.array(lang[first[begins]])), prefix,
-        pa.ListArray.from_arrays(bounds, following), pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int64())),
-    ]
-    names = [c.split()[0] for c in STRIPES.split(", ")]
-    rows = pa.RecordBatch.from_arrays(columns, names)
-    if length > 1:
-        return rows
-    per_lang = np.bincount(lang, minlength=len(coded.dictionary))
-    many = len(per_lang)
-    totals = pa.RecordBatch.from_arrays([
-        coded.dictionary, pa.nulls(many, pa.string()),
-        pa.ListArray.from_arrays(pa.array(range(many + 1), pa.int32()), pa.nulls(many, pa.string())),
-        pa.ListArray.from_arrays(pa.array(range(many + 1), pa.int32()), pa.array(per_lang, pa.int64())),
-    ], names)
-    return pa.Table.from_batches([rows, totals]).combine_chunks().to_batches()[0]
 
+    def words(at: np.ndarray) -> pa.Array:
+        return found.distinct.take(pa.array(found.codes[at])).cast(pa.string())
+
+    heads = [words(first[begins] + k) for k in range(n - 1)]
+    return [
+        pieces.langs.take(pa.array(pieces.lang[first[begins]])),
+        pc.binary_join_element_wise(*heads, " ") if heads else pa.array([""] * len(begins), pa.string()),
+        pa.ListArray.from_arrays(bounds, words(first + n - 1)), pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int64())),
+    ]
 
-def _merged(docs: DataFrame, length: int, known, least: int) -> DataFrame:
-    """(lang, prefix, next, count): the stripes of all tasks, added elementwise.
 
-    A merged stripe has no bound (any word may follow a common one), so it stays rows of one prefix; each entry is
-    added up on its own, first in the task that found it.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed = known.value if known is not None else None
+def _stripes_of(pieces: Pieces, known: dict[int, Filter]) -> pa.RecordBatch:
+    """One row with the stripes of all lengths that have a filter; a stripe without prefix holds a language's words."""
+    per_lang = np.bincount(pieces.lang, minlength=len(pieces.langs))
+    many = len(per_lang)
+    each = pa.array(range(many + 1), pa.int32())
+    parts = [[pieces.langs, pa.nulls(many, pa.string()), pa.ListArray.from_arrays(each, pa.nulls(many, pa.string())),
+              pa.ListArray.from_arrays(each, pa.array(per_lang, pa.int64()))]]
+    for length in sorted(known):
+        if length > 1:
+            pieces.lengthen()
+        parts.append(_stripes_here(pieces, pieces.whole & known[length].has(pieces.head)))
+    columns = [pa.concat_arrays([part[k] for part in parts]) for k in range(4)]
+    stripes = pa.StructArray.from_arrays(columns, ["lang", "prefix", "following", "counts"])
+    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(stripes)], pa.int32()), stripes)], ["stripes"])
+
+
+def _by_slice(use):
+    """A function of Arrow batches that yields what ``use`` makes of the words of each slice of texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, texts in tokens.slices(batch.column("text")):
-                found = _stripes_of(batch.column("lang").slice(begin, len(texts)), texts, length, passed)
-                if found.num_rows:
-                    yield found
+                for found in use(Pieces(batch.column("lang").slice(begin, len(texts)), texts)):
+                    if found.num_rows:
+                        yield found
 
-    entries = docs.mapInArrow(count, STRIPES).select("lang", "prefix", F.explode(F.arrays_zip("following", "counts")).alias("e"))
-    summed = entries.groupBy("lang", "prefix", F.col("e.following").alias("next")).agg(F.sum("e.counts").alias("count"))
-    return summed.where(F.col("prefix").isNull() | (F.col("count") >= least))
+    return run
 
 
-def _filter(stripes: DataFrame) -> Filter | None:
-    """The filter of a level's frequent phrases: 64 bits a phrase as far as the most bits go; None without phrases."""
-    many = stripes.count()
-    if not many:
-        return None
-    bits = min(MOST_BITS, max(FEWEST_BITS, 1 << (64 * many - 1).bit_length()))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = []
-            for lang, prefix, word in zip(*(batch.column(c).to_pylist() for c in ("lang", "prefix", "next"))):
-                parts = [lang, *(prefix.split(" ") if prefix else []), word]
-                hashes = _word_hashes(parts)
-                head = hashes[:1]
-                for k in range(1, len(parts)):
-                    head = _then(head, hashes[k:k + 1])
-                places.append(int(head[0]) & (bits - 1))
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64())], ["place"])
+def _frequent(docs: DataFrame, length: int, known, least: int) -> DataFrame:
+    """(length, shelf, hash) of the phrases of ``length`` words, without a filter of the words too, that may be frequent.
 
+    Tasks deal their counts by shelves, a row of many hashes each, so a common phrase is one entry and a common word's
+    phrases lie on all shelves. Entries are added up after the shuffle, where Spark's aggregation may spill.
+    """
+    def count(pieces: Pieces) -> Iterator[pa.RecordBatch]:
+        if known is None:
+            yield _shelved(pieces, pieces.whole)
+            pieces.lengthen()
+            yield _shelved(pieces, pieces.whole)
+            return
+        while pieces.length < length - 1:
+            pieces.lengthen()
+        here = pieces.grown(known.value)
+        pieces.lengthen()
+        yield _shelved(pieces, here)
+
+    parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = docs.mapInArrow(_by_slice(count), COUNTED).repartition(parallel, "length", "shelf").select(
+        "length", "shelf", F.explode(F.arrays_zip("hashes", "counts")).alias("e"))
+    summed = entries.groupBy("length", "shelf", F.col("e.hashes").alias("hash")).agg(F.sum("e.counts").alias("count"))
+    return stored(summed.where(F.col("count") >= least).drop("count"), "hashes")
+
+
+def _filters(hashes: DataFrame) -> dict[int, Filter]:
+    """A filter for each length of which there are phrases, with 64 bits a phrase as far as the most bits go."""
+    bits = {
+        row.length: min(MOST_BITS, max(FEWEST_BITS, 1 << (64 * row["count"] - 1).bit_length()))
+        for row in hashes.groupBy("length").count().collect()
+    }
+    if not bits:
+        return {}
+    mask = F.lit(0)
+    for length, many in bits.items():
+        mask = F.when(F.col("length") == length, F.lit(many - 1)).otherwise(mask)
+    place = hashes.select("length", F.col("hash").cast("bigint").bitwiseAND(mask.cast("bigint")).alias("place"))
     # Bits are or-ed by 64-bit words, then words put side by side: a chunk is 8 KB whatever the number of phrases.
-    bit = stripes.mapInArrow(place, "place bigint").select(
-        F.shiftright("place", 6).alias("cell"), F.expr("shiftleft(1L, cast(place & 63 AS int))").alias("bit"))
-    cells = bit.groupBy("cell").agg(F.bit_or("bit").alias("bits"))
-    chunks = cells.groupBy(F.shiftright("cell", 10).alias("chunk")).applyInArrow(_chunk, "chunk bigint, body binary")
-    return Filter(bits, {row.chunk: row.body for row in chunks.collect()})
+    bit = place.select("length", F.shiftright("place", 6).alias("cell"), F.expr("shiftleft(1L, cast(place & 63 AS int))").alias("bit"))
+    cells = bit.groupBy("length", "cell").agg(F.bit_or("bit").alias("bits"))
+    chunks = cells.groupBy("length", F.shiftright("cell", 10).alias("chunk")).applyInArrow(_chunk, "length int, chunk bigint, body binary")
+    bodies: dict[int, dict[int, bytes]] = {length: {} for length in bits}
+    for row in chunks.collect():
+        bodies[row.length][row.chunk] = row.body
+    return {length: Filter(bits[length], bodies[length]) for length in bits}
 
 
 def _chunk(cells: pa.Table) -> pa.Table:
     body = np.zeros(CHUNK_BITS // 64, np.int64)
     cell = cells["cell"].to_numpy()
     body[cell % len(body)] = cells["bits"].to_numpy()
-    return pa.table({"chunk": cell[:1] // len(body), "body": pa.array([body.tobytes()], pa.binary())})
+    return pa.table({
+        "length": cells["length"].slice(0, 1).combine_chunks(), "chunk": cell[:1] // len(body), "body": pa.array([body.tobytes()], pa.binary())})
 
 
 def _phrase(prefix: Column, word: Column) -> Column:
@@ -179,24 +218,34 @@ def _phrase(prefix: Column, word: Column) -> Column:
 
 
 def stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """The merged stripes of all prefixes, (lang, prefix, next, count) of every phrase that occurs ``least`` times, and
-    (lang, n) with the number of words.
-
-    A phrase is no more frequent than its parts, so each length is counted only where the phrases of one word less,
-    at its begin and at its end, are frequent: one scan a length, which ends early where no phrase is left.
+    """The merged stripes, (lang, prefix, next, count) of every phrase that occurs ``least`` times, and (lang, n), the
+    number of words.
+
+    Hashes are counted first, with no word in the shuffle: of words and pairs in one scan, then of each further length only
+    where the phrases of one word less, at its begin and at its end, may be frequent, for no phrase is more frequent
+    than its parts. Counts of hashes only choose: in the last scan tasks build the stripes of the chosen phrases, whose
+    entries are added exactly. A merged stripe has no bound (any word may follow a common one), so it stays rows of one
+    prefix, and each entry is added up on its own, first in the task that found it.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    first = stored(_merged(rows, 1, None, least), "stripes")
-    levels = [first.where(F.col("prefix").isNotNull())]
-    for length in range(2, longest + 1):
-        known = _filter(levels[-1])
-        if known is None:
+    known = _filters(_frequent(rows, 2, None, least))
+    for length in range(3, longest + 1):
+        if length - 1 not in known:
             break
-        levels.append(stored(_merged(rows, length, spark.sparkContext.broadcast(known), least), "stripes"))
-    totals = first.where(F.col("prefix").isNull()).select("lang", F.col("count").alias("n"))
-    return reduce(DataFrame.unionAll, levels), totals
+        known |= _filters(_frequent(rows, length, context.broadcast(known[length - 1]), least))
+    chosen = context.broadcast({k: f for k, f in known.items() if k <= longest})
+
+    def build(pieces: Pieces) -> Iterator[pa.RecordBatch]:
+        yield _stripes_of(pieces, chosen.value)
+
+    built = rows.mapInArrow(_by_slice(build), STRIPES).select(F.explode("stripes").alias("s")).select(
+        "s.lang", "s.prefix", F.explode(F.arrays_zip("s.following", "s.counts")).alias("e"))
+    summed = built.groupBy("lang", "prefix", F.col("e.following").alias("next")).agg(F.sum("e.counts").alias("count"))
+    merged = stored(summed.where(F.col("prefix").isNull() | (F.col("count") >= least)), "stripes")
+    totals = merged.where(F.col("prefix").isNull()).select("lang", F.col("count").alias("n"))
+    return merged.where(F.col("prefix").isNotNull()), totals
 
 
 def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
