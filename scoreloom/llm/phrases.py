@@ -240,9 +240,12 @@ def stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     def build(pieces: Pieces) -> Iterator[pa.RecordBatch]:
         yield _stripes_of(pieces, chosen.value)
 
-    built = rows.mapInArrow(_by_slice(build), STRIPES).select(F.explode("stripes").alias("s")).select(
-        "s.lang", "s.prefix", F.explode(F.arrays_zip("s.following", "s.counts")).alias("e"))
-    summed = built.groupBy("lang", "prefix", F.col("e.following").alias("next")).agg(F.sum("e.counts").alias("count"))
+    def entries(stripe: Column) -> Column:
+        return F.transform(stripe["following"], lambda word, i: F.struct(
+            stripe["lang"].alias("lang"), stripe["prefix"].alias("prefix"), word.alias("next"), F.get(stripe["counts"], i).alias("count")))
+
+    built = rows.mapInArrow(_by_slice(build), STRIPES).select(F.explode(F.flatten(F.transform("stripes", entries))).alias("e"))
+    summed = built.groupBy("e.lang", "e.prefix", "e.next").agg(F.sum("e.count").alias("count"))
     merged = stored(summed.where(F.col("prefix").isNull() | (F.col("count") >= least)), "stripes")
     totals = merged.where(F.col("prefix").isNull()).select("lang", F.col("count").alias("n"))
     return merged.where(F.col("prefix").isNotNull()), totals
