@@ -25,7 +25,6 @@ from .base import SNAPSHOT, query, stored_both
 from .score_queries import GRADES
 
 SMALL = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 5}
-SMALL_BOUNDS = {"max_depth": (2, 3), "learning_rate": (0.1, 0.2), "n_estimators": (3, 5), "subsample": (0.8, 1)}
 # Far more rounds than the patience: the validation measure stops the fit.
 STOPPED = {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 40}
 STUMP = {"max_depth": 1, "learning_rate": 0.1, "n_estimators": 1}
@@ -33,8 +32,10 @@ STUMP_FEATURES = (
     "is_overdrawn", "n_urgent", "region_key",
     "segment_AUTOMOBILE", "segment_BUILDING", "segment_FURNITURE", "segment_HOUSEHOLD", "segment_MACHINERY",
 )
-# All ranges of a search, fewer rounds and lower trees.
+# The ranges of a preset, with fewer rounds than its 10 to 300 or 500, though more than the patience, and lower trees.
 QUICK = {"n_estimators": (12, 20), "max_depth": (2, 4)}
+WHOLE = {**config.SEARCH_BOUNDS["xgb"], "n_estimators": (14, 20), "max_depth": (2, 3)}
+TRIALS = 3
 MOMENT, LATER = datetime(2024, 1, 1, 9, 0, 0), datetime(2024, 1, 1, 10, 0, 0)
 
 
@@ -54,7 +55,7 @@ def _report(prepared: Prepared, fitted: learning.Fitted) -> DataFrame:
 
 def _registered(spark, folder) -> ModelRegistry:
     registry = ModelRegistry(spark, fresh_path(spark, "registry"))
-    train_and_register(_prepared(spark, folder), registry, model_name("xgb", MOMENT), "xgb", SMALL_BOUNDS, trials=1)
+    train_and_register(_prepared(spark, folder), registry, model_name("xgb", MOMENT), "xgb", WHOLE, TRIALS, parallelism=TRIALS)
     return registry
 
 
@@ -199,11 +200,11 @@ def tune_random_lgb(spark, folder):
 
 
 def _tuned(spark, folder, model_type: str) -> DataFrame:
-    """A search over all ranges of a preset."""
+    """A search over the ranges of a preset, rounds and depth narrowed: two random trials, two guided ones."""
     prepared = _prepared(spark, folder)
     bounds = {**config.SEARCH_BOUNDS[model_type], **QUICK}
     trials = learning.search(
-        prepared.part("train"), prepared.part("val"), prepared.encoder.names, model_type, bounds, trials=4
+        prepared.part("train"), prepared.part("val"), prepared.encoder.names, model_type, bounds, trials=4, random_trials=2
     )
     return spark.createDataFrame(
         [(t.number, t.rounds, t.auc, float(t.params["learning_rate"]), len(t.params)) for t in trials],
@@ -266,19 +267,19 @@ def registry_features(spark, folder):
 
 @query("retrain_selected")
 def retrain_selected(spark, folder):
-    """Importance filter and second fit on the features that are left."""
+    """Importance filter and second fit on the features that are left, both stopped by the validation loss."""
     prepared = _prepared(spark, folder)
-    importance = learning.importance_table(_fit(prepared))
+    importance = learning.importance_table(_fit(prepared, STOPPED))
     useful = [r[0] for r in importance.where("importance > 0").orderBy("position").select("variable").collect()]
     chosen = Prepared(prepared.data, prepared.encoder.restricted(useful))
-    report = _report(chosen, _fit(chosen))
+    report = _report(chosen, _fit(chosen, STOPPED))
     return report.withColumn("num_features", F.lit(len(useful)))
 
 
 def _development(spark, folder):
     registry = ModelRegistry(spark, fresh_path(spark, "registry"))
     run = DevelopmentRun(
-        registry, fresh_path(spark, "output"), MOMENT, LATER, bounds=SMALL_BOUNDS, trials=1, parallelism=1
+        registry, fresh_path(spark, "output"), MOMENT, LATER, bounds=WHOLE, trials=TRIALS, parallelism=TRIALS
     )
     return registry, run.run(*stored_both(spark, folder))
 
@@ -288,8 +289,10 @@ def development_run(spark, folder):
     _, result = _development(spark, folder)
     e = result.evaluation
     return spark.createDataFrame(
-        [(result.base.name, result.final.name, len(result.final.fitted.features), e.validation_roc, e.test_roc, e.psi)],
-        "base_model string, final_model string, num_cols int, validation_roc double, test_roc double, psi double",
+        [(result.base.name, result.final.name, len(result.final.fitted.features), result.final.fitted.rounds,
+          result.final.fitted.params["n_estimators"], e.validation_roc, e.test_roc, e.psi)],
+        "base_model string, final_model string, num_cols int, rounds int, most_rounds int, "
+        "validation_roc double, test_roc double, psi double",
     )
 
 

@@ -68,6 +68,7 @@ SPLIT_SEED = 42
 MODEL_SEED = 50
 SEARCH_SEED = 1
 SEARCH_TRIALS = 55
+RANDOM_TRIALS = 5
 PATIENCE = 10
 
 # Hyperparameter ranges of the two learner presets.

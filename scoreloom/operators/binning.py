@@ -6,7 +6,6 @@ snapshot share these scans, and only per-bin counts come out of the last one.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -23,7 +22,6 @@ from .prepare import OTHER_LEVEL, count_levels, discover_levels
 TRAIN, TEST = "TRAIN", "TEST"
 TYPE = "data_type"
 LEAF_ROWS = 2_000_000
-PLACE_DIGITS = 12  # hexadecimal digits of a level that place it: 48 bits, exact in a double
 EDGE_RANGES = 256
 INF = float("inf")
 
@@ -405,23 +403,17 @@ def _shares(summed: DataFrame) -> DataFrame:
     ).withColumn("iv_1", divergence(F.col("good_ratio"), F.col("bad_ratio")))
 
 
-def _level_place(levels: DataFrame) -> tuple[DataFrame, list[float]]:
-    """Number levels in their order by the bytes behind what all levels of a variable begin with.
+def _level_place(levels: DataFrame, rows_per_range: int | None = None) -> tuple[DataFrame, list[float]]:
+    """Number levels in their order: ``place`` is the range of (variable, level) a level lies in.
 
-    The least and the largest level of a variable share that beginning with all others, so two texts
-    per variable reach the driver. Levels of equal number are ordered by themselves.
+    Spark cuts the ranges at sampled levels, so what levels begin with does not matter, and the number is stored with the
+    level, so that it stays the same however often the table is read. Few levels are one range.
     """
-    ends = levels.groupBy("variable").agg(
-        F.hex(F.min("bin")).alias("low"), F.hex(F.max("bin")).alias("high"), F.count(F.lit(1)).alias("n")
-    ).collect()
-    skip = F.lit(0)
-    for row in ends:
-        same = len(os.path.commonprefix([row["low"], row["high"]]))
-        skip = F.when(F.col("variable") == row["variable"], F.lit(same)).otherwise(skip)
-    digits = F.rpad(F.substring(F.hex("bin"), skip + 1, F.lit(PLACE_DIGITS)), PLACE_DIGITS, "0")
-    placed = levels.withColumn("place", F.conv(digits, 16, 10).cast("double"))
-    rows = sum(r["n"] for r in ends)
-    return placed, ranges.split_points(placed, ["place"], rows, ranges.range_count(rows))["place"]
+    n_ranges = ranges.range_count(levels.count(), rows_per_range or ranges.ROWS_PER_RANGE)
+    if n_ranges == 1:
+        return levels.withColumn("place", F.lit(0.0)), []
+    cut = levels.repartitionByRange(n_ranges, "variable", "bin").withColumn("place", F.spark_partition_id().cast("double"))
+    return stored(cut, "levels"), [float(i) for i in range(1, n_ranges)]
 
 
 SUMMARY_COLUMNS = (
@@ -439,7 +431,7 @@ def numerical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled", boun
     return with_measures(filled).select(*SUMMARY_COLUMNS, *extra)
 
 
-def categorical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled") -> DataFrame:
+def categorical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled", rows_per_range: int | None = None) -> DataFrame:
     """One row per level, in level order.
 
     A variable may have as many levels as rows, so running sums go over ranges of levels and totals
@@ -448,7 +440,7 @@ def categorical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled") ->
     levels = pooled(counts, scope).where(F.col("variable").isin(*bins.categorical)).withColumns(
         {"good": F.col("count") - F.col("bad"), "one": F.lit(1)}
     )
-    placed, points = _level_place(levels)
+    placed, points = _level_place(levels, rows_per_range)
     running = ranges.running_totals(placed, ["variable"], "place", ["one", "bad", "good"], points, ties=["bin"])
     totals = levels.groupBy("variable").agg(*[F.sum(n).alias(f"whole_{n}") for n in ("count", "bad", "good")])
     summed = running.join(totals, "variable").withColumns({

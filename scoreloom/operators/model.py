@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -28,6 +29,8 @@ MAX_INFO_GAIN = 0.05
 MAX_DEPTH = 30
 GAMMA_RANGE = 10.0
 LABEL, FEATURES = "__label", "__features"
+BEST_SHARE = 0.15  # of the trials, which a guided draw goes by
+GUIDED_DRAWS = 6
 TRAIN_DEFAULTS = {"max_depth": 6, "learning_rate": 0.1, "n_estimators": 100}
 
 
@@ -194,6 +197,48 @@ def draw_params(bounds: Mapping[str, tuple[float, float]], trials: int, seed: in
     return [as_integers({k: rng.uniform(*bounds[k]) for k in sorted(bounds)}) for _ in range(trials)]
 
 
+def guided_params(
+    bounds: Mapping[str, tuple[float, float]], done: Sequence[Trial], wanted: int, seed: int
+) -> list[dict[str, float]]:
+    """Draws near the best trials and away from the others, whose number ``done`` seeds them.
+
+    For each parameter, the best share of the trials and the rest become two mixtures of normal densities over its
+    range, a flat one among them. Of GUIDED_DRAWS draws from the first, the one with the greatest ratio of both
+    densities is taken. Trials that were drawn together differ by their draws alone.
+    """
+    rng = random.Random(f"{seed}:{len(done)}")
+    ranked = sorted(done, key=_rank)
+    good = max(1, math.ceil(BEST_SHARE * len(ranked)))
+
+    def density(x: float, centres: Sequence[float], width: float, span: float) -> float:
+        near = sum(math.exp(-0.5 * ((x - c) / width) ** 2) for c in centres) / (width * math.sqrt(2 * math.pi))
+        return (near + 1 / span) / (len(centres) + 1)
+
+    def draw() -> dict[str, float]:
+        found = {}
+        for name in sorted(bounds):
+            low, high = bounds[name]
+            span = high - low
+            if not span:
+                found[name] = low
+                continue
+            best, rest = ([t.params[name] for t in part] for part in (ranked[:good], ranked[good:]))
+            width = span / max(2.0, math.sqrt(len(ranked)))
+
+            def sample() -> float:
+                while True:
+                    centre = rng.choice([None, *best])
+                    x = rng.uniform(low, high) if centre is None else rng.gauss(centre, width)
+                    if low <= x <= high:
+                        return x
+
+            drawn = [sample() for _ in range(GUIDED_DRAWS)]
+            found[name] = max(drawn, key=lambda x: density(x, best, width, span) / density(x, rest, width, span))
+        return as_integers(found)
+
+    return [draw() for _ in range(wanted)]
+
+
 @dataclass(frozen=True)
 class Trial:
     number: int
@@ -202,6 +247,11 @@ class Trial:
     auc: float
 
 
+def _rank(trial: Trial) -> tuple[float, int]:
+    """Best trials first; those without an AUC last."""
+    return (-trial.auc if trial.auc == trial.auc else 1.0, trial.number)
+
+
 def search(
     train: DataFrame,
     validation: DataFrame,
@@ -213,29 +263,36 @@ def search(
     seed: int = config.SEARCH_SEED,
     parallelism: int = 2,
     options: Mapping | None = None,
+    random_trials: int = config.RANDOM_TRIALS,
 ) -> list[Trial]:
-    """Random search for the highest validation AUC, best trial first.
+    """Search for the highest validation AUC, best trial first: random trials, then guided ones.
 
     A trial stops on the validation loss and is judged by the AUC of the trees up to that round.
     Each trial is a set of Spark jobs; ``parallelism`` trials run side by side so that the end of
     one job does not leave executors idle. Pass stored frames: every trial reads them again.
+    After ``random_trials`` trials, each batch of ``parallelism`` learns from all before it; a search is the same again
+    for the same seed and parallelism.
     """
     check_model_type(model_type)
-    wanted = bounds or config.SEARCH_BOUNDS[model_type]
-    draws = draw_params({k: v for k, v in wanted.items() if k not in UNSUPPORTED}, trials, seed)
+    wanted = {k: v for k, v in (bounds or config.SEARCH_BOUNDS[model_type]).items() if k not in UNSUPPORTED}
 
-    def run(number: int) -> Trial:
-        learner = Learner(tuple(features), draws[number], target, options=dict(options or {}))
+    def run(drawn: tuple[int, dict[str, float]]) -> Trial:
+        number, params = drawn
+        learner = Learner(tuple(features), params, target, options=dict(options or {}))
         booster = _booster(learner.fit(train, learner.max_rounds))
         vectors = learner.vectors(validation)
         rounds = best_round(round_values(booster, vectors, "logloss"))
         auc = auc_at_round(booster, vectors, rounds)
-        return Trial(number, draws[number], rounds, float("nan") if auc is None else auc)
+        return Trial(number, params, rounds, float("nan") if auc is None else auc)
 
+    done: list[Trial] = []
     with ThreadPoolExecutor(parallelism) as pool:
         work = inheritable_thread_target(train.sparkSession)(run)
-        done = list(pool.map(work, range(trials)))
-    return sorted(done, key=lambda t: (-t.auc if t.auc == t.auc else 1.0, t.number))
+        batch = draw_params(wanted, min(trials, max(1, random_trials)), seed)
+        while batch:
+            done += pool.map(work, enumerate(batch, len(done)))
+            batch = guided_params(wanted, done, min(parallelism, trials - len(done)), seed)
+    return sorted(done, key=_rank)
 
 
 def importance_table(fitted: Fitted, path: str | None = None) -> DataFrame:

@@ -26,6 +26,7 @@ SKETCH_ROWS = 5_000_000
 HEX_DIGITS_PER_PASS = 4
 HASH_DIGITS = 32
 TIE = "__tie"
+COPIES_PER_PART = 100_000
 
 
 def range_count(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
@@ -132,7 +133,7 @@ def first_by_hash(df: DataFrame, hash_column: str, k: int) -> tuple[DataFrame, D
 
     Each pass counts rows by the next hex digits and keeps the one prefix that holds row k, so no
     pass sorts the table and the driver sees at most 16 ** 4 counts. Rows that share the hash of
-    row k are told apart by their other columns; only those are ordered. NULL hashes are never first.
+    row k are told apart by their other columns; rows equal in all of them are counted. NULL hashes are never first.
     """
     h = column(hash_column)
     prefix, left = "", k
@@ -158,8 +159,18 @@ def first_by_hash(df: DataFrame, hash_column: str, k: int) -> tuple[DataFrame, D
     if hash_column != TIE:
         rows = tied.withColumn(TIE, F.md5(F.to_json(F.struct(*map(column, df.columns)))))
         first, others = (part.drop(TIE) for part in first_by_hash(rows, TIE, left))
-    else:  # equal in every column: any of them will do, so they are numbered
-        numbered = tied.withColumn("__place", F.row_number().over(Window.orderBy(TIE)))
-        first = numbered.where(F.col("__place") <= left).drop("__place")
-        others = numbered.where(F.col("__place") > left).drop("__place")
+    else:  # equal in every column: any of them will do, so they are counted and written out again
+        one = tied.agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*map(column, df.columns))).alias("row"))
+        first, others = copies(one, F.least(F.lit(left), F.col("n"))), copies(one, F.col("n") - left)
     return below.unionByName(first), above.unionByName(others)
+
+
+def copies(one: DataFrame, n: Column, per_part: int = COPIES_PER_PART) -> DataFrame:
+    """The ``row`` struct of each row of ``one``, ``n`` times, in parts of ``per_part`` copies that tasks share."""
+    many = one.select("row", F.greatest(n, F.lit(0)).cast("bigint").alias("n")).where(F.col("n") > 0)
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / per_part).cast("bigint")))
+    # A given number of tasks: adaptive execution would join the parts again, which are tiny before they are written out.
+    tasks = int(one.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = many.select("row", "n", part.alias("part")).repartition(tasks, "part")
+    here = F.least(F.lit(per_part).cast("bigint"), F.col("n") - F.col("part") * per_part)
+    return parts.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), here)).alias("copy")).select("row.*")

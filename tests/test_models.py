@@ -55,8 +55,29 @@ def test_stored_features_keep_their_order(spark, small_dir):
     assert names[:3] == ["acctbal", "is_overdrawn", "region_key"] and names[-1] == "urgent_status_P"
 
 
+def test_guided_draws_go_where_trials_did_well():
+    """On a made-up measure with one peak the guided trials come much nearer to it than as many random ones."""
+    bounds = {"a": (0.0, 1.0), "b": (-5.0, 5.0), "fixed": (2, 2), "max_depth": (2, 10)}
+    gain = lambda p: -(p["a"] - 0.83) ** 2 - ((p["b"] - 3.1) / 10) ** 2 - ((p["max_depth"] - 8) / 16) ** 2
+
+    def found(seed, guided):
+        done = [learning.Trial(i, p, 1, gain(p)) for i, p in enumerate(learning.draw_params(bounds, 5 if guided else 35, seed))]
+        while len(done) < 35:
+            for p in learning.guided_params(bounds, done, 2, seed):
+                assert 0 <= p["a"] <= 1 and -5 <= p["b"] <= 5 and p["fixed"] == 2 and p["max_depth"] in range(2, 11)
+                done.append(learning.Trial(len(done), p, 1, gain(p)))
+        return max(t.auc for t in done)
+
+    guided, chance = ([found(seed, way) for seed in range(20)] for way in (True, False))
+    assert sum(guided) / sum(chance) < 0.7
+    one = [learning.Trial(0, {"a": 0.5}, 1, float("nan"))]
+    assert learning.guided_params({"a": (0, 1)}, one, 3, 1) == learning.guided_params({"a": (0, 1)}, one, 3, 1)
+    assert learning.guided_params({"a": (0, 1)}, one, 0, 1) == []
+
+
 def test_whole_runs(spark, small_dir):
     row = rows(spark, small_dir, "development_run")[0]
+    assert 1 <= row["rounds"] <= row["most_rounds"] and 14 <= row["most_rounds"] <= 20
     assert row["final_model"] == "xgb_240101_100000" and row["test_roc"] > 0.6 and 0 <= row["psi"] < 1
     grades = rows(spark, small_dir, "monthly_scoring_run")
     assert sum(r["general_count"] for r in grades) == 884 == QUERIES["prep_scoring"](spark, small_dir).count()

@@ -330,6 +330,22 @@ def test_first_rows_of_repeated_and_missing_keys(spark):
         assert sample.sample_rows(frame, n, "customer_id").count() == min(n, 120)
 
 
+def test_equal_rows_are_dealt_exactly(spark, monkeypatch):
+    """A third and more of the rows are equal in every column; their copies come from several tasks."""
+    monkeypatch.setattr(ranges.copies, "__defaults__", (40,))
+    rows = [(7, "same", None)] * 500 + [(i, "other", 1.5) for i in range(300)]
+    frame = spark.createDataFrame(rows, "customer_id bigint, s string, x double").withColumn("h", F.md5(F.col("customer_id").cast("string")))
+    below = frame.where("customer_id != 7 OR s != 'same'").where(F.col("h") < F.md5(F.lit("7"))).count()
+    for k in (below + 1, below + 250, below + 499):
+        first, others = ranges.first_by_hash(frame, "h", k)
+        assert first.columns == frame.columns == others.columns
+        assert (first.count(), others.count()) == (k, 800 - k)
+        assert first.unionAll(others).exceptAll(frame).count() == 0
+    written = ranges.copies(spark.sql("SELECT struct(1 AS a) AS row, 995L AS n"), F.col("n"))
+    per_task = [r["count"] for r in written.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 995 and len(per_task) > 3 and max(per_task) < 600
+
+
 def test_missing_groups_and_keys_stay(spark):
     frame = spark.createDataFrame([(None, 1.0, 2), (None, 2.0, 3), ("a", 1.0, 4)], "g string, v double, n bigint")
     for points in ([], [1.5]):
@@ -356,6 +372,20 @@ def test_any_number_of_levels(spark):
     assert len([c for c in encoded.columns if c.startswith("wide_")]) == 400
 
 
+def test_one_strange_level_does_not_join_the_ranges(spark):
+    """Levels that begin alike, beside one that does not, still lie in many ranges of about the same size."""
+    rows = [(f"customer-{i:06d}", i % 3 % 2, "TRAIN") for i in range(4000)] + [("NA", 1, "TRAIN"), ("", 0, "TRAIN"), ("é", 1, "TRAIN")]
+    frame = spark.createDataFrame(rows, "wide string, PERF int, data_type string")
+    bins = binning.fit_bins(frame)
+    counts = binning.bin_counts(frame, bins)
+    placed, points = binning._level_place(binning.pooled(counts, "pooled"), 200)
+    sizes = [r["count"] for r in placed.select("place").groupBy("place").count().collect()]
+    assert len(points) == 20 and len(sizes) > 15 and max(sizes) < 600
+    many = binning.categorical_summary(counts, bins, rows_per_range=200).orderBy("bin").collect()
+    assert many == binning.categorical_summary(counts, bins).orderBy("bin").collect()
+    assert [r["bin_order"] for r in many] == list(range(4003))
+
+
 def test_running_totals_and_positions(spark):
     rows = [(g, float(v), v % 5 + 1) for g in ("a", "b") for v in range(200)]
     frame = spark.createDataFrame(rows, "g string, v double, n bigint")
