@@ -53,9 +53,9 @@ def _report(prepared: Prepared, fitted: learning.Fitted) -> DataFrame:
     return evaluate.roc_auc(scored, groups=["split"]).withColumn("rounds", F.lit(fitted.rounds))
 
 
-def _registered(spark, folder) -> ModelRegistry:
+def _registered(spark, folder, bounds=WHOLE, trials=TRIALS) -> ModelRegistry:
     registry = ModelRegistry(spark, fresh_path(spark, "registry"))
-    train_and_register(_prepared(spark, folder), registry, model_name("xgb", MOMENT), "xgb", WHOLE, TRIALS, parallelism=TRIALS)
+    train_and_register(_prepared(spark, folder), registry, model_name("xgb", MOMENT), "xgb", bounds, trials, parallelism=trials)
     return registry
 
 
@@ -260,7 +260,7 @@ SELECT CAST(row_number() OVER (ORDER BY part, i, name) - 1 AS INTEGER) AS positi
 
 @query("registry_features", FEATURE_NAMES)
 def registry_features(spark, folder):
-    registry = _registered(spark, folder)
+    registry = _registered(spark, folder, {k: (v, v) for k, v in SMALL.items()}, trials=1)  # the names do not depend on the fit
     names = registry.features(registry.latest("xgb"))
     return spark.createDataFrame(list(enumerate(names)), "position int, variable string")
 
