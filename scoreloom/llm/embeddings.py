@@ -270,7 +270,11 @@ def _search(least: float):
 
 
 def audit(classes: DataFrame, linked: DataFrame, total: int, least: float) -> float:
-    """Share of the true links of a bounded sample of vectors, compared with all others, that were found."""
+    """Share of the true links of a bounded sample of vectors, compared with all others, that were found.
+
+    It is the least of the share of all links and the mean share of a vector, so that a ball of near copies, which has most
+    links, cannot hide what small groups miss.
+    """
     drawn = F.conv(F.substring(F.md5("key"), 1, 12), 16, 10).cast("double") / float(16**12)
     queries = classes.where(drawn < 2.0 * AUDITED / max(1, total)).orderBy("key").limit(AUDITED).select("key", "unit").collect()
     by_width: dict[int, list] = {}
@@ -293,8 +297,9 @@ def audit(classes: DataFrame, linked: DataFrame, total: int, least: float) -> fl
         F.sum("true").alias("true"))
     own = classes.select("key", "copies").join(truth, "key").join(linked.select("key", "linked"), "key", "left")
     true = F.col("true") - F.col("copies")  # without the vector's own copies
-    row = own.agg(F.sum(true), F.sum(F.least(true, F.coalesce("linked", F.lit(0))))).first()
-    return 1.0 if not row[0] else row[1] / row[0]
+    met = F.least(true, F.coalesce("linked", F.lit(0)))
+    row = own.agg(F.sum(true), F.sum(met), F.avg(F.when(true > 0, met / true))).first()
+    return 1.0 if not row[0] else min(row[1] / row[0], row[2])
 
 
 @dataclass(frozen=True)
@@ -346,7 +351,8 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE) -> NearVectors
         recall = audit(classes, links, total, least)
         if recall >= LEAST_RECALL:
             break
-    logging.getLogger(__name__).info("recall of near vectors: %.4f with overlap %d", recall, overlap)
+    logging.getLogger(__name__).log(
+        logging.INFO if recall >= LEAST_RECALL else logging.WARNING, "recall of near vectors: %.4f with overlap %d", recall, overlap)
     forest = components(checked.select(F.col("key").alias("a"), F.col("head").alias("b")))
     whole = stored(
         classes.select("key", "rep", "copies").join(links, "key", "left")

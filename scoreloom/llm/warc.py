@@ -27,7 +27,6 @@ DATE = "2000-01-01T00:00:00Z"
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 8 << 20
 BLOCK = 1 << 20
-HEAD_LIMIT = 1 << 20  # decoded bytes within which a record's head must end
 
 MANIFEST = "path string, bytes bigint, records bigint"
 RECORDS = (
@@ -212,7 +211,10 @@ def members(path: str, start: int, end: int) -> Iterator[bytes]:
 
 
 def _member(file, at: int, size: int) -> tuple[bytes | None, int]:
-    """The member at a position and the position behind it; None where no WARC record begins."""
+    """The member at a position and the position behind it; None where no WARC record begins.
+
+    The first bytes tell whether it may be a record; a head may be as long as it likes, but must end within the member.
+    """
     decoder, out, read, checked = zlib.decompressobj(31), [], at, False
     held = 0
     try:
@@ -224,17 +226,13 @@ def _member(file, at: int, size: int) -> tuple[bytes | None, int]:
             out.append(decoder.decompress(block))
             held += len(out[-1])
             if not checked and (held >= 7 or decoder.eof):
-                head = b"".join(out)
-                if not head.startswith(b"WARC/1."):
-                    return None, at
-                if END in head:
-                    checked = True
-                elif held > HEAD_LIMIT or decoder.eof:
+                if not b"".join(out).startswith(b"WARC/1."):
                     return None, at
-                out = [head]
+                checked = True
     except zlib.error:
         return None, at
-    return b"".join(out), read - len(decoder.unused_data)
+    data = b"".join(out)
+    return (data, read - len(decoder.unused_data)) if END in data else (None, at)
 
 
 def _parsed(data: bytes, with_payload: bool) -> tuple | None:

@@ -45,6 +45,15 @@ def test_round_trip_and_splits(spark):
     assert warc.read_warc(listed).count() == len(rows)
 
 
+def test_long_heads(spark):
+    """A url that fills megabytes of its record's head, and hardly compresses, is read back like any other."""
+    url = "http://h.example/" + "".join(hashlib.sha256(str(i).encode()).hexdigest() + "ü" for i in range(40_000))
+    rows = [(1, url, "a", None), (2, "http://h/", "b", None), (3, url[::-1], "a", None)]
+    files = warc.write_warc(spark.createDataFrame(rows, PAGES), fresh_path(spark, "warc"))
+    for split in (1 << 20, 50_000):
+        assert records(warc.read_warc(files, split_bytes=split)) == brute(rows)
+
+
 def test_short_payloads_are_responses(spark):
     rows = [(1, None, "ab", None), (2, None, "ab", None), (3, None, "abcdef", None), (4, None, "abcdef", None)]
     frame = spark.createDataFrame(rows, PAGES)
