@@ -25,9 +25,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 COUNTED = "length int, shelf int, hashes array<int>, counts array<int>"
-STRIPES = "stripes array<struct<lang:string,prefix:string,following:array<string>,counts:array<bigint>>>"
-STRIPE_WORDS = 4096  # entries of a stripe as a task hands it over; longer ones go on in a further stripe
-SHELVES = 1 << 12  # a phrase's hash has 44 bits: a shelf and 32 bits within it
+STRIPES = "shelf int, lang array<string>, prefix array<string>, next array<string>, count array<bigint>"
+ENTRIES = "lang string, prefix string, next string, count bigint"
+HELD = 500_000  # entries that a task holds before it adds up equal ones
 CHUNK_BITS = 1 << 16
 FEWEST_BITS, MOST_BITS = 1 << 20, 1 << 29
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -92,7 +92,7 @@ class Pieces:
 
 
 def _shelved(pieces: Pieces, where: np.ndarray) -> pa.RecordBatch:
-    """How often each hash of a phrase at the given words occurs, by shelf."""
+    """How often each hash of a phrase at the given words occurs: 44 bits, of which 12 are the shelf."""
     ids, counts = np.unique(pieces.head[where] >> np.uint64(20), return_counts=True)
     shelf = (ids >> np.uint64(32)).astype(np.int32)
     begins = np.flatnonzero(np.append(True, shelf[1:] != shelf[:-1])) if len(ids) else np.empty(0, np.int64)
@@ -104,46 +104,82 @@ def _shelved(pieces: Pieces, where: np.ndarray) -> pa.RecordBatch:
     ], [c.split()[0] for c in COUNTED.split(", ")])
 
 
-def _stripes_here(pieces: Pieces, where: np.ndarray) -> list[pa.Array]:
-    """lang, prefix, following words and their counts: the stripes of the phrases at the given words."""
+def _stripes_here(pieces: Pieces, where: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """Shelf, and lang, prefix, next word and count, of the entries of the stripes at the given words."""
     found, n = pieces.found, pieces.length
     at, width = np.flatnonzero(where), len(pieces.found.distinct) + 1
     # The prefix as one number, then the prefix with the next word, each numbered anew to stay within 64 bits.
     key = pieces.lang[at]
     for k in range(n - 1):
         _, key = np.unique(key * width + found.codes[at + k], return_inverse=True)
-    pairs, first, counts = np.unique(key * width + found.codes[at + n - 1], return_index=True, return_counts=True)
-    keys, first = pairs // width, at[first]
-    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
-    place = np.arange(len(keys)) - np.repeat(new, np.diff(np.append(new, len(keys))))
-    begins = np.flatnonzero(place % STRIPE_WORDS == 0)
-    bounds = pa.array(np.append(begins, len(keys)), pa.int32())
-
-    def words(at: np.ndarray) -> pa.Array:
-        return found.distinct.take(pa.array(found.codes[at])).cast(pa.string())
-
-    heads = [words(first[begins] + k) for k in range(n - 1)]
-    return [
-        pieces.langs.take(pa.array(pieces.lang[first[begins]])),
-        pc.binary_join_element_wise(*heads, " ") if heads else pa.array([""] * len(begins), pa.string()),
-        pa.ListArray.from_arrays(bounds, words(first + n - 1)), pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int64())),
+    _, first, counts = np.unique(key * width + found.codes[at + n - 1], return_index=True, return_counts=True)
+    first = at[first]
+
+    def words(k: int) -> pa.Array:
+        return found.distinct.take(pa.array(found.codes[first + k])).cast(pa.string())
+
+    heads = [words(k) for k in range(n - 1)]
+    return (pieces.head[first] >> np.uint64(52)).astype(np.int64), [
+        pieces.langs.take(pa.array(pieces.lang[first])),
+        pc.binary_join_element_wise(*heads, " ") if heads else pa.array([""] * len(first), pa.string()),
+        words(n - 1), pa.array(counts, pa.int64()),
     ]
 
 
 def _stripes_of(pieces: Pieces, known: dict[int, Filter]) -> pa.RecordBatch:
-    """One row with the stripes of all lengths that have a filter; a stripe without prefix holds a language's words."""
+    """A row for each shelf with the entries of all stripes that lie on it; one without prefix holds a language's words."""
     per_lang = np.bincount(pieces.lang, minlength=len(pieces.langs))
-    many = len(per_lang)
-    each = pa.array(range(many + 1), pa.int32())
-    parts = [[pieces.langs, pa.nulls(many, pa.string()), pa.ListArray.from_arrays(each, pa.nulls(many, pa.string())),
-              pa.ListArray.from_arrays(each, pa.array(per_lang, pa.int64()))]]
+    none = pa.nulls(len(per_lang), pa.string())
+    parts = [(np.zeros(len(per_lang), np.int64), [pieces.langs, none, none, pa.array(per_lang, pa.int64())])]
     for length in sorted(known):
         if length > 1:
             pieces.lengthen()
         parts.append(_stripes_here(pieces, pieces.whole & known[length].has(pieces.head)))
-    columns = [pa.concat_arrays([part[k] for part in parts]) for k in range(4)]
-    stripes = pa.StructArray.from_arrays(columns, ["lang", "prefix", "following", "counts"])
-    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(stripes)], pa.int32()), stripes)], ["stripes"])
+    shelf = np.concatenate([part[0] for part in parts])
+    order = np.argsort(shelf, kind="stable")
+    shelf, place = shelf[order], pa.array(order)
+    begins = np.flatnonzero(np.append(True, shelf[1:] != shelf[:-1]))
+    bounds = pa.array(np.append(begins, len(shelf)), pa.int32())
+    columns = [pa.concat_arrays([part[1][k] for part in parts]).take(place) for k in range(4)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shelf[begins].astype(np.int32)), *[pa.ListArray.from_arrays(bounds, c) for c in columns]],
+        [c.split()[0] for c in STRIPES.split(", ")])
+
+
+def _merge(least: int):
+    """Adds up the entries of each shelf as its rows come by, and yields those that are frequent."""
+    names = [c.split()[0] for c in ENTRIES.split(", ")]
+
+    def added(parts: list[pa.Table]) -> pa.Table:
+        summed = pa.concat_tables(parts).group_by(names[:3]).aggregate([("count", "sum")])
+        return summed.select([*names[:3], "count_sum"]).rename_columns(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shelf, held, many = None, [], 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            table = added(held)
+            kept = pc.or_(pc.is_null(table["prefix"]), pc.greater_equal(table["count"], least))
+            yield from table.filter(kept).combine_chunks().to_batches()
+
+        for batch in batches:
+            shelves = batch.column("shelf").to_numpy()
+            begins = np.flatnonzero(np.append(True, shelves[1:] != shelves[:-1])) if len(shelves) else []
+            for begin, end in zip(begins, [*begins[1:], len(shelves)]):
+                if shelf is not None and shelves[begin] != shelf:
+                    yield from done()
+                    held, many = [], 0
+                shelf = shelves[begin]
+                rows = batch.slice(begin, end - begin)
+                held.append(pa.table([rows.column(c).flatten() for c in names], names))
+                many += len(held[-1])
+                if many > HELD and many > 2 * len(held[0]):
+                    held = [added(held)]
+                    many = len(held[0])
+        if held:
+            yield from done()
+
+    return run
 
 
 def _by_slice(use):
@@ -223,9 +259,9 @@ def stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
 
     Hashes are counted first, with no word in the shuffle: of words and pairs in one scan, then of each further length only
     where the phrases of one word less, at its begin and at its end, may be frequent, for no phrase is more frequent
-    than its parts. Counts of hashes only choose: in the last scan tasks build the stripes of the chosen phrases, whose
-    entries are added exactly. A merged stripe has no bound (any word may follow a common one), so it stays rows of one
-    prefix, and each entry is added up on its own, first in the task that found it.
+    than its parts. Counts of hashes only choose: in the last scan tasks build the stripes of the chosen phrases. A merged
+    stripe has no bound (any word may follow a common one), so its entries are dealt by the hash of the whole phrase
+    to shelves, where tasks add them up elementwise and exactly; one holds no more than the chosen phrases of a shelf.
     """
     context = docs.sparkSession.sparkContext
     rows = docs.select(
@@ -240,13 +276,9 @@ def stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     def build(pieces: Pieces) -> Iterator[pa.RecordBatch]:
         yield _stripes_of(pieces, chosen.value)
 
-    def entries(stripe: Column) -> Column:
-        return F.transform(stripe["following"], lambda word, i: F.struct(
-            stripe["lang"].alias("lang"), stripe["prefix"].alias("prefix"), word.alias("next"), F.get(stripe["counts"], i).alias("count")))
-
-    built = rows.mapInArrow(_by_slice(build), STRIPES).select(F.explode(F.flatten(F.transform("stripes", entries))).alias("e"))
-    summed = built.groupBy("e.lang", "e.prefix", "e.next").agg(F.sum("e.count").alias("count"))
-    merged = stored(summed.where(F.col("prefix").isNull() | (F.col("count") >= least)), "stripes")
+    parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    built = rows.mapInArrow(_by_slice(build), STRIPES).repartition(parallel, "shelf").sortWithinPartitions("shelf")
+    merged = stored(built.mapInArrow(_merge(least), ENTRIES), "stripes")
     totals = merged.where(F.col("prefix").isNull()).select("lang", F.col("count").alias("n"))
     return merged.where(F.col("prefix").isNotNull()), totals
 

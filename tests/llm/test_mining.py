@@ -169,7 +169,7 @@ def phrase_rows():
 @pytest.mark.parametrize("least,longest", [(3, 5), (20, 5), (8, 2), (100, 5)])
 def test_phrases(spark, monkeypatch, least, longest):
     monkeypatch.setattr(tokens, "SLICE_BYTES", 700)
-    monkeypatch.setattr(phrases, "STRIPE_WORDS", 3)
+    monkeypatch.setattr(phrases, "HELD", 3)
     rows = phrase_rows()
     frame = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], DOCS).selectExpr("*", "1 AS n", "2 AS prefix")
     got = [tuple(r) for r in phrases.mine(frame.repartition(5), least, longest).collect()]
