@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.workspace import stored
 from .graph import sized
-from .text import words
+from .text import bind, words
 
 # The notices that name each license, a template a line.
 TEMPLATES = {
@@ -25,10 +27,12 @@ TEMPLATES = {
         This work is licensed under the GNU General Public License, version 3.
         SPDX-License-Identifier: GPL-3.0
         This program is free software: you can redistribute it and modify it under the terms of the GNU General Public License version 3
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License
     """,
     "GPL-2.0": """
         This work is licensed under the GNU General Public License, version 2.
         SPDX-License-Identifier: GPL-2.0
+        This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License
     """,
     "LGPL-3.0": """
         This library is licensed under the GNU Lesser General Public License, version 3.
@@ -60,26 +64,82 @@ TEMPLATES = {
         SPDX-License-Identifier: CC0-1.0
     """,
 }
-# A line without any of these words is no header; each template has one.
-CUE = r"(?i)licen[sc]e|copyright|permission|permitted|redistribut|public domain"
+# Words that name a license or its variant, and the versions in use. A passage must have those of the
+# template, and no name of another license.
+NAMES = ("mit", "apache", "gpl", "lgpl", "agpl", "gnu", "lesser", "affero", "bsd", "mozilla", "mpl", "cc", "cc0", "sa", "nc", "nd",
+         "sharealike", "noncommercial", "noderivatives")
+VERSIONS = ("2", "3", "4")
+# A text without any of these words has no notice; each template has one.
+CUE = r"(?i)licen[sc]e|copyright|permission|permitted|redistribut|public[^\p{L}\p{N}]+domain"
+CUE_WORD = r"licen[sc]e|copyright|permission|permitted|redistribut"
 FILE_NAME = r"(?i)(^|/)(un)?(licen[sc]e|copying)[^/]*$"
 LEAST_COSINE = 0.7
 FILE_SHARE = 0.5  # share of a text's words in its notices from which it is a licence file whatever its name
 
 
-def _passages(files: DataFrame) -> DataFrame:
-    """Texts to compare, by file: each line with a cue, and such neighbouring lines as one."""
+def _known() -> list[tuple[int, str, str, list[str]]]:
+    """(template, license, passage, words) of every template."""
+    lines = [(name, line.strip()) for name, lines in TEMPLATES.items() for line in lines.strip().splitlines()]
+    return [(k, name, line, re.findall("[a-z0-9]+", line.lower())) for k, (name, line) in enumerate(lines)]
+
+
+def _is_cue(word: str, before: str | None) -> bool:
+    return bool(re.search(CUE_WORD, word)) or (before, word) == ("public", "domain")
+
+
+def reaches() -> list[tuple[int, int]]:
+    """(words before its first cue, words) of the templates: the windows to compare around a cue."""
+    found = set()
+    for _, _, _, terms in _known():
+        found.add((next(i for i, w in enumerate(terms) if _is_cue(w, terms[i - 1] if i else None)), len(terms)))
+    return sorted(found)
+
+
+def _lines(files: DataFrame) -> DataFrame:
+    """Whole passages: each line with a cue, and all such lines of a file as one."""
     lines = F.split(F.coalesce("text", F.lit("")), r"\r\n|\r|\n")
     cued = F.filter(lines, lambda x: x.rlike(CUE))
-    return files.where(F.col("text").rlike(CUE)).select(
-        "doc_id", "path", F.explode(F.array_distinct(F.concat(cued, F.array(F.array_join(cued, " "))))).alias("passage"),
-    )
+    return files.select("doc_id", "path", F.explode(F.array_distinct(F.concat(cued, F.array(F.array_join(cued, " "))))).alias("passage"))
+
+
+def _windows(files: DataFrame) -> DataFrame:
+    """Template-sized windows around each cue, wherever lines break.
+
+    A cue first becomes a row with the words around it, so that a row stays short however long its text is.
+    """
+    sizes = reaches()
+    most = max(size for _, size in sizes)
+
+    def around(w: Column) -> Column:
+        def at(word: Column, i: Column) -> Column:
+            cue = word.rlike(CUE_WORD) | ((word == "domain") & (i > 0) & (F.get(w, i - 1) == "public"))
+            return F.when(cue, i)
+
+        return F.transform(F.array_compact(F.transform(w, at)), lambda i: F.struct(
+            F.least(i, F.lit(most)).alias("at"), F.slice(w, F.greatest(i - most, F.lit(0)) + 1, F.lit(2 * most)).alias("near")))
+
+    cues = files.select("doc_id", "path", F.explode(bind(words(F.col("text")), around)).alias("cue"))
+    shapes = F.array(*[F.struct(F.lit(before).alias("before"), F.lit(size).alias("size")) for before, size in sizes])
+
+    def window(shape: Column) -> Column:
+        start = F.col("cue")["at"] - shape["before"]
+        return F.array_join(F.slice(
+            F.col("cue")["near"], F.greatest(start, F.lit(0)) + 1, shape["size"] + F.least(start, F.lit(0))), " ")
+
+    return cues.select("doc_id", "path", F.explode(F.array_distinct(F.transform(shapes, window))).alias("passage"))
+
+
+def _passages(files: DataFrame) -> DataFrame:
+    """(doc_id, path, passage, line) of the texts to compare; ``line`` is false for a window."""
+    cued = files.where(F.col("text").rlike(CUE)).select("doc_id", "path", "text")
+    return _lines(cued).withColumn("line", F.lit(True)).unionAll(_windows(cued).withColumn("line", F.lit(False)))
 
 
-def _weighted(texts: DataFrame, key: str, idf: DataFrame) -> DataFrame:
-    """(key, term, weight) with unit length over the terms of a key."""
+def _weighted(texts: DataFrame, key: str, idf: DataFrame, total: int) -> DataFrame:
+    """(key, term, weight) with unit length over the terms of a key; a term that no line has is as rare as can be."""
     counted = texts.select(key, F.explode(words(F.col("passage"))).alias("term")).groupBy(key, "term").count()
-    raw = counted.join(idf, "term").select(key, "term", (F.col("count") * F.col("idf")).alias("weight"))
+    rarest = F.log(F.lit(1.0) + total) + 1
+    raw = counted.join(idf, "term", "left").select(key, "term", (F.col("count") * F.coalesce("idf", rarest)).alias("weight"))
     norm = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     return raw.join(norm, key).select(key, "term", (F.col("weight") / F.col("norm")).alias("weight"))
 
@@ -87,37 +147,45 @@ def _weighted(texts: DataFrame, key: str, idf: DataFrame) -> DataFrame:
 def classify(spark: SparkSession, passages: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """(print, license, score) of every different passage that is near enough to a template.
 
-    Document frequencies count the different passages of the whole table and the templates. Weights are
-    rows (passage, term), so the cosine is a join on terms and a sum. Ties go to the smaller name.
+    ``passages`` has print, passage and line. Document frequencies count the different lines of the whole table
+    and the templates; windows repeat words of lines and do not count. Weights are rows (passage, term), so the
+    cosine is a join on terms and a sum. A passage that lacks a name or version of the template, or names
+    another license, is not near. Ties go to the smaller name.
     """
+    marks = lambda terms, of: [w for w in of if w in terms]
     known = spark.createDataFrame(
-        [(k, name, line.strip()) for k, (name, line) in enumerate(
-            (name, line) for name, lines in TEMPLATES.items() for line in lines.strip().splitlines())],
-        "template int, license string, passage string",
+        [(k, name, line, marks(terms, NAMES + VERSIONS), marks(terms, NAMES)) for k, name, line, terms in _known()],
+        "template int, license string, passage string, needed array<string>, allowed array<string>",
     ).coalesce(1)
-    different = passages.select(F.xxhash64("passage").alias("print"), "passage").dropDuplicates(["print"])
-    texts = stored(
-        different.select("print", "passage").unionAll(known.select(F.xxhash64("passage"), "passage")).dropDuplicates(["print"]),
-        "license_passages")
+    different = stored(
+        passages.groupBy("print").agg(F.min("passage").alias("passage"), F.max("line").alias("line")), "license_passages")
+    texts = different.where("line").select("print", "passage").unionAll(
+        known.select(F.xxhash64("passage"), "passage")).dropDuplicates(["print"])
     total = texts.count()
-    idf = stored(
+    idf = sized(stored(
         texts.select("print", F.explode(F.array_distinct(words(F.col("passage")))).alias("term")).groupBy("term").count()
-        .select("term", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("count"))) + 1).alias("idf")), "license_idf")
-    # Fewer than a hundred templates of some twenty words: a broadcast of fixed size.
-    templates = F.broadcast(_weighted(known, "template", idf).join(F.broadcast(known.select("template", "license")), "template")
+        .select("term", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("count"))) + 1).alias("idf")), "license_idf"))
+    # Fewer than a hundred templates of some twenty words: broadcasts of fixed size.
+    names = F.broadcast(known.select("template", "license", "needed", "allowed"))
+    templates = F.broadcast(_weighted(known, "template", idf, total).join(names.select("template", "license"), "template")
                             .select("template", "license", "term", F.col("weight").alias("wanted")))
-    cosine = _weighted(different, "print", idf).join(templates, "term").groupBy("print", "template", "license").agg(
-        F.sum(F.col("weight") * F.col("wanted")).alias("score"))
-    best = cosine.groupBy("print").agg(F.min(F.struct((-F.round("score", 9)).alias("low"), "license")).alias("best"))
-    return best.select("print", F.col("best.license").alias("license"), (-F.col("best.low")).alias("score")).where(
-        F.col("score") >= least)
+    near = _weighted(different, "print", idf, total).join(templates, "term").groupBy("print", "template", "license").agg(
+        F.sum(F.col("weight") * F.col("wanted")).alias("score")).where(F.round("score", 9) >= least)
+    named = different.select("print", F.array_intersect(
+        words(F.col("passage")), F.array(*map(F.lit, NAMES + VERSIONS))).alias("marks"))
+    fits = (F.size(F.array_except("needed", "marks")) == 0) & (F.size(F.array_except(
+        F.array_intersect("marks", F.array(*map(F.lit, NAMES))), "allowed")) == 0)
+    near = near.join(named, "print").join(names.drop("license"), "template").where(fits)
+    best = near.groupBy("print").agg(F.min(F.struct((-F.round("score", 9)).alias("low"), "license")).alias("best"))
+    return best.select("print", F.col("best.license").alias("license"), (-F.col("best.low")).alias("score"))
 
 
 def scan(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """doc_id, path, license, score, origin and inherited_from of every file.
 
-    ``files`` has doc_id, path and text. origin is ``header`` where the file's own best passage reaches the
-    cosine ``least``, ``file`` where the file is a licence file, and ``inherited`` where it takes the license
+    ``files`` has doc_id, path and text. Passages are the lines with a cue, those of a file together, and
+    template-sized windows around each cue, so a notice counts inside a longer line or broken over several
+    lines too. origin is ``header`` where the file's own best passage reaches the cosine ``least``, ``file`` where the file is a licence file, and ``inherited`` where it takes the license
     of the licence file in the nearest directory above it; else all are null. A licence file is one by name
     or one whose notices are at least half of its words. Of several in a directory the best score counts,
     then the smaller path. A null text is empty, a null path has no directory; repeated rows give a row
@@ -126,10 +194,11 @@ def scan(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     own_path = F.coalesce("path", F.lit(""))
     passages = stored(_passages(files).withColumn("print", F.xxhash64("passage")), "license_lines")
     found = stored(classify(files.sparkSession, passages, least), "license_found")
-    n_words = F.size(words(F.col("passage")))
-    best = F.max(F.struct("score", "license", n_words.alias("n_words"))).alias("best")
+    # The best passage names the license; the longest passage with that license tells the notices' share of the text.
+    by_license = passages.join(sized(found), "print").groupBy("doc_id", "path", "license").agg(
+        F.max("score").alias("score"), F.max(F.size(words(F.col("passage")))).alias("n_words"))
     own = stored(
-        passages.join(sized(found), "print").groupBy("doc_id", "path").agg(best)
+        by_license.groupBy("doc_id", "path").agg(F.max(F.struct("score", "license", "n_words")).alias("best"))
         .select("doc_id", "path", "best.license", "best.score", "best.n_words"), "license_own")
     own = own.select(F.col("doc_id").alias("_id"), F.col("path").alias("_path"), "license", "score", "n_words")
     named = files.select("doc_id", "path", F.size(words(F.col("text"))).alias("all_words")).join(

@@ -126,3 +126,37 @@ def test_every_license_line_of_the_table(spark, tiny_dir, line, name):
     docs = spark.read.parquet(f"{tiny_dir}/documents.parquet").selectExpr("doc_id", "CAST(doc_id AS STRING) AS path", "text")
     found = {r.doc_id for r in licenses.scan(docs).collect() if r.origin in ("header", "file") and r.license == name}
     assert found == {r.doc_id for r in docs.collect() if line in r.text.split("\n")}
+
+
+def test_notices_inside_and_across_lines(spark):
+    prose = "some other words of a text that go on and on "
+    wrapped = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General"
+               " Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# later.\n")
+    rows = [
+        (1, prose * 3 + "Licensed under the Apache License, Version 2.0. " + prose * 3, "Apache-2.0"),
+        (2, wrapped + prose * 20, "GPL-3.0"), (3, wrapped.replace("version 3", "version 2") + prose * 20, "GPL-2.0"),
+        (4, prose * 2000 + "Released under the MIT License" + prose * 2000, "MIT"),
+        (5, "Released under the Foo License. " + prose, None), (6, "SPDX-License-Identifier: Foo", None),
+        (7, "This project is licensed under the terms of the Foo license.", None), (8, "Licensed under CC BY-ND 4.0.", None),
+        (9, prose + "// Dedicated to the public\n// domain under CC0 1.0.\n" + prose, "CC0-1.0"),
+        (10, prose + "Licensed under CC BY-SA 4.0. " + prose, "CC-BY-SA-4.0"), (11, "license " * 5000, None),
+        (12, prose + "a licence to drive a car in the street " + prose, None),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, want string").selectExpr("*", "concat(doc_id, '/x.py') AS path")
+    assert {r.doc_id: r.license for r in licenses.scan(frame).collect()} == {r[0]: r[2] for r in rows}
+    assert all(r.origin in (None, "header") for r in licenses.scan(frame.where("doc_id IN (1, 2, 4)")).collect())
+
+
+def test_windows_against_brute_force(spark):
+    """Every template-sized run of words that has a cue where a template has its first one."""
+    rng = np.random.default_rng(3)
+    vocabulary = ["license", "licensed", "public", "domain", "mit", "permission", "x", "y", "copyrighted", "domain"]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (1, 2, 5, 40, 120)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "'a' AS path")
+    want = set()
+    for k, text in enumerate(texts):
+        terms = text.split()
+        for i, word in enumerate(terms):
+            if licenses._is_cue(word, terms[i - 1] if i else None):
+                want |= {(k, " ".join(terms[max(0, i - b): max(0, i - b + n)])) for b, n in licenses.reaches()}
+    assert {(r.doc_id, r.passage) for r in licenses._windows(frame).collect()} == want
