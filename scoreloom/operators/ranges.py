@@ -18,6 +18,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expressions import column, double_array, quoted
+from ..sources.workspace import stored
 
 MAX_RANGES = 16_384
 ROWS_PER_RANGE = 1_000_000
@@ -106,23 +107,80 @@ def running_totals(
     )
 
 
-def positions(df: DataFrame, bucket: Column, order: Sequence[str], name: str = "position") -> DataFrame:
+def positions(
+    df: DataFrame, bucket: Column, order: Sequence[str], name: str = "position", rows_per_task: int = ROWS_PER_RANGE
+) -> DataFrame:
     """Number all rows 1..n by ``order``; ``bucket`` must not decrease along that order.
 
-    Only the rows of one bucket meet in one task. Rows whose bucket is NULL come last.
+    Only the rows of one bucket meet in one task. Rows whose bucket is NULL come last. Rows that are equal in
+    ``order`` are numbered by a hash of the row. Where a value of ``order`` has more than ``rows_per_task``
+    rows, it takes part as a few counts, and its rows are numbered in as many parts.
     """
-    bucketed = df.withColumn("__bucket", bucket)
+    bucketed = df.withColumn("__bucket", bucket).withColumn("__tie_break", F.xxhash64(*map(column, df.columns)))
     counts = bucketed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__rows"))
-    earlier = Window.orderBy(F.col("__bucket").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(F.col("__bucket").alias("__at"), F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("__bucket").orderBy(*[column(n) for n in order])
+    if (counts.agg(F.max("__rows")).first()[0] or 0) > 2 * rows_per_task:
+        hot = _hot_values(bucketed, order, rows_per_task)
+        if not hot.isEmpty():
+            return _positions_with_ties(bucketed, hot, order, name).select(*[column(n) for n in df.columns], name)
+    inside = Window.partitionBy("__bucket").orderBy(*[column(n) for n in order], "__tie_break")
     return (
         bucketed.withColumn("__inside", F.row_number().over(inside))
-        .join(before, F.col("__bucket").eqNullSafe(F.col("__at")))
+        .join(_before(counts), F.col("__bucket").eqNullSafe(F.col("__at")))
         .select(*[column(n) for n in df.columns], (F.col("__before") + F.col("__inside")).alias(name))
     )
 
 
+def _before(counts: DataFrame) -> DataFrame:
+    """(__at, __before): rows in the buckets before each one."""
+    earlier = Window.orderBy(F.col("__bucket").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(F.col("__bucket").alias("__at"), F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+
+
+def _hot_values(bucketed: DataFrame, order: Sequence[str], rows_per_task: int) -> DataFrame:
+    """Values of ``order`` with more than ``rows_per_task`` rows, and the parts to number them in.
+
+    There are at most as many as all rows divided by ``rows_per_task``.
+    """
+    found = bucketed.groupBy(*[column(n) for n in order]).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_task)
+    return stored(found.select(
+        *[column(n).alias(f"__hot_{i}") for i, n in enumerate(order)], F.ceil(F.col("__n") / rows_per_task).alias("__parts")
+    ), "hot_values")
+
+
+def _positions_with_ties(bucketed: DataFrame, hot: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``bucketed`` with positions; rows of ``hot`` values enter the sorted buckets as one count per part.
+
+    The part of a row is drawn once and written down, so a retried task finds it unchanged.
+    """
+    by = [column(n) for n in order]
+    same = reduce(and_, [c.eqNullSafe(F.col(f"__hot_{i}")) for i, c in enumerate(by)])
+    marked = bucketed.join(F.broadcast(hot), same, "left")
+    tied = stored(
+        marked.where(F.col("__parts").isNotNull())
+        .select(*[column(n) for n in bucketed.columns], F.floor(F.rand(1) * F.col("__parts")).alias("__part")), "tied_rows")
+    weights = tied.groupBy("__bucket", *by, "__part").agg(F.count(F.lit(1)).alias("__weight"))
+    single = marked.where(F.col("__parts").isNull()).drop("__parts", *hot.columns).withColumn("__weight", F.lit(1).cast("bigint"))
+    line = single.unionByName(weights, allowMissingColumns=True)
+    totals = line.groupBy("__bucket").agg(F.sum("__weight").alias("__rows"))
+    inside = Window.partitionBy("__bucket").orderBy(*by, "__part", "__tie_break").rowsBetween(Window.unboundedPreceding, 0)
+    ends = (
+        line.withColumn("__inside", F.sum("__weight").over(inside))
+        .join(_before(totals), F.col("__bucket").eqNullSafe(F.col("__at")))
+        .withColumn(name, F.col("__before") + F.col("__inside"))
+    )
+    starts = ends.where(F.col("__part").isNotNull()).select(
+        *[c.alias(f"__hot_{i}") for i, c in enumerate(by)], F.col("__part").alias("__at_part"),
+        (column(name) - F.col("__weight")).alias("__start"))
+    within = Window.partitionBy(*by, "__part").orderBy("__tie_break")
+    numbered = (
+        tied.withColumn("__inside", F.row_number().over(within))
+        .join(starts, same & (F.col("__part") == F.col("__at_part")))
+        .withColumn(name, F.col("__start") + F.col("__inside"))
+    )
+    wanted = [*bucketed.columns, name]
+    return ends.where(F.col("__part").isNull()).select(*map(column, wanted)).unionByName(numbered.select(*map(column, wanted)))
+
+
 def hash_bucket(hash_column: str, digits: int = 4) -> Column:
     """Bucket of a hex hash that follows the order of the hash: 16 ** digits buckets."""
     return F.substring(column(hash_column), 1, digits)

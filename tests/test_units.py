@@ -398,6 +398,26 @@ def test_running_totals_and_positions(spark):
     assert [r["h"] for r in numbered] == sorted(r["h"] for r in numbered)
 
 
+@pytest.mark.parametrize("alike", [False, True])
+def test_positions_of_hot_keys(spark, alike):
+    """A third of the rows has one key, a fifth has none: all are numbered in key order, whatever else they hold."""
+    hot = lambda i: 7.0 if i % 3 == 0 else None if i % 5 == 0 else float(i // 4)
+    keys = [hot(i) for i in range(900)]
+    frame = spark.createDataFrame([(k, "same" if alike else str(i)) for i, k in enumerate(keys)], "k double, `s.x` string")
+    bucket = F.floor(F.col("k") / 40)
+    plain = ranges.positions(frame, bucket, ["k"])
+    split = ranges.positions(frame, bucket, ["k"], rows_per_task=20)
+    order = sorted(keys, key=lambda k: (k is None, k or 0))
+    for found in (plain, split):
+        rows = sorted(found.collect(), key=lambda r: r["position"])
+        assert found.columns == ["k", "s.x", "position"]
+        assert [r["position"] for r in rows] == list(range(1, 901)) and [r["k"] for r in rows] == order
+        assert sorted(r["s.x"] for r in rows) == sorted(r["s.x"] for r in frame.collect())
+    parts = ranges._hot_values(frame.withColumn("__bucket", bucket), ["k"], 20).collect()
+    assert {r["__hot_0"]: r["__parts"] for r in parts} == {k: -(-keys.count(k) // 20) for k in set(keys) if keys.count(k) > 20}
+    assert ranges.positions(frame.limit(0), bucket, ["k"]).collect() == []
+
+
 # -- names ------------------------------------------------------------------------------------
 
 
