@@ -103,6 +103,29 @@ def test_patience():
     assert learning.best_round([0.5], patience=10) == 1
 
 
+def test_fit_lengths():
+    assert learning.fit_lengths(300) == [75, 300] and learning.fit_lengths(500) == [32, 125, 500]
+    assert learning.fit_lengths(20) == [20] and learning.fit_lengths(1) == [1] and learning.fit_lengths(16, 2) == [4, 16]
+    assert learning.fit_lengths(9, 0) == [3, 9]
+    assert all(sum(learning.fit_lengths(n)) <= 1.4 * n for n in range(20, 600))
+    assert learning.stop_of([0.5, 0.6, 0.55, 0.58], 2) == (2, True) and learning.stop_of([0.5, 0.6, 0.55], 2) == (2, False)
+
+
+@pytest.mark.parametrize("part,most,patience,lengths", [("val", 16, 2, [4]), ("train", 12, 1, [3, 12])])
+def test_short_fits_stop_where_the_long_one_does(spark, small_dir, monkeypatch, part, most, patience, lengths):
+    """A fit that overfits at once never gets long; one judged by its own rows does, and both keep the same rounds."""
+    prepared = _prepared(spark, small_dir)
+    train, names = prepared.part("train"), tuple(prepared.encoder.names)
+    learner = learning.Learner(names, {"max_depth": 4, "learning_rate": 0.3, "n_estimators": most})
+    vectors = learner.vectors(prepared.part(part))
+    want = learning.best_round(
+        learning.round_values(learner.fit(train, learner.max_rounds).stages[-1], vectors, "logloss"), patience)
+    fitted, fit = [], learning.Learner.fit
+    monkeypatch.setattr(learning.Learner, "fit", lambda self, df, n: fitted.append(n) or fit(self, df, n))
+    model, rounds = learning.fit_until_stopped(learner, train, vectors, patience)
+    assert rounds == want and fitted == lengths and len(model.stages[-1].treeWeights) == lengths[-1]
+
+
 def test_parameter_mapping(caplog):
     settings = learning.gbt_params(
         {"max_depth": 4.9, "learning_rate": 0.05, "n_estimators": 20.7, "min_child_weight": 3.2, "gamma": 5,
