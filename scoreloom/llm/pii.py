@@ -193,7 +193,7 @@ def _joined(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """All spans of every document: doc_id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans.
+    """All spans of every document: doc_id, n_email, n_ip, n_card, n_phone, n_term, n_spans, base_sha256, spans.
 
     ``spans`` are kind:start:end in code points, end exclusive, by start and then kind; the base kinds
     come from the patterns, ``term`` from the corpus. A null text is empty; repeated rows give a row
@@ -213,7 +213,7 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
         F.size(F.filter("all", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in (*KINDS, TERM)
     ]
     return whole.select(
-        "doc_id", *counts, F.sha2(_joined(F.col("spans")), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans")
+        "doc_id", *counts, F.size("all").cast("bigint").alias("n_spans"), F.sha2(_joined(F.col("spans")), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans")
     )
 
 

@@ -197,6 +197,7 @@ def same(spark, texts):
         assert [s for s in found[i].spans.split(",") if s and not s.startswith("term")] == want
         for kind in BASE:
             assert found[i][f"n_{kind}"] == sum(s.startswith(kind) for s in want)
+        assert found[i].n_spans == sum(bool(s) for s in found[i].spans.split(","))
 
 
 def test_spans(spark):
