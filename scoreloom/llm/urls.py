@@ -8,6 +8,8 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .text import bind
+
 # Fixed values: (verdict, host, path prefix) of the rules.
 RULES = (
     ("allow", "com", "/"),
@@ -84,23 +86,71 @@ LABELLED = {
         www.bookshop.example/novels/classics
         shop.garden.example/seeds/beans
         www.railway.example/timetable/summer
-        www.maple.example.org/en/1204
-        m.birch.example.net/en/88
-        blog.river.example.com/de/345.html
-        stone.example.org/fr/7712
-        harbour.example.net/es/41090
-        www.lantern.example.com/en/205.html
-        meadow.example.org/de/6631
-        m.orchard.example.com/fr/930
-        blog.willow.example.net/es/15/
-        thistle.example.com/en/70421
-        www.pebble.example.org/en/3
-        heron.example.net/de/518/
     """,
 }
 
+# Names of sites of each verdict, and words that stand beside them. The words that stand beside both kinds
+# teach the model to look at the name.
+NAMES = {
+    "block": """
+        casino poker slots jackpot roulette blackjack betting bets bet bingo lottery wager gambling sportsbook
+        porn xxx adult sex escorts cams nude hookup milf erotic
+        viagra cialis pills pharmacy xanax tramadol painkillers
+        warez crack keygen torrents nulled pirated
+        ads adserver adclick banner popup clicks tracker track pixel adtech
+        spam backlinks linkfarm doorway clickbait
+        loans payday quickcash forex bitcoin prize giveaway replica
+        phishing malware trojan spyware
+    """,
+    "allow": """
+        library school museum university science history physics algebra mathematics research language literature
+        kitchen bread recipes weather forecast hospital council recycling journal medicine theatre music travel mountain
+        software engineer database compiler railway timetable bookshop novels classics painting gallery collection
+        garden maple birch river stone harbour lantern meadow orchard willow thistle pebble heron tractor bicycle
+        parliament election newspaper report thread forum archive letters volume nation station condition tension
+        mother brother weathervane northern southern heather leather gathering other thesis theory
+        essex middlesex adapter address adventure advice admiral shadow meadows badminton winter window wind twins
+        alphabet better beta letterbox sorbet tibet analysis therapist camera cambridge pillow pilot pillar spinning
+        spaniel spanish sparrow tracing tractors trackside crackers cryptography popular popcorn banners bannister
+        lottie poetry slope sextant sexton hotel hothouse chess press expression pixels loanword replication
+        training turing reading angling shingle stand handle errand holland thousand wheat shore horse
+        restoration interest estuary history story order border corner enterprise internet render veranda
+    """,
+}
+BESIDE = {
+    "block": "win free online now 4u best cheap hot live lucky king x farm bonus deals pro store",
+    "allow": "home free online new my best north live house city old green club shop farm x store",
+}
+# What hosts and paths of either verdict look like.
+SUBDOMAINS = ("", "www.", "m.", "blog.")
+SUFFIXES = (".example.com", ".example.net", ".example.org", ".example")
+PATHS = ("/", "/en/1204", "/de/88.html", "/fr/7712/", "/es/345", "/index.html", "/en/70421.html")
+
 GRAMS = (3, 4, 5)
-FEATURES = 1 << 15
+FEATURES = 1 << 16
+REGULARISATION = 0.001
+ALLOW_WEIGHT = 3.0  # of an allowed url in training: a url blocked by mistake costs a document
+
+
+def labelled_urls() -> list[tuple[str, str, str]]:
+    """(verdict, host, path): the labelled table, and every name alone and beside other words.
+
+    Both verdicts take the same subdomains, suffixes and paths in turn, so that only names and words tell them apart.
+    """
+    rows = [
+        (verdict, line.split("/", 1)[0], "/" + line.split("/", 1)[1])
+        for verdict, lines in LABELLED.items() for line in lines.split()
+    ]
+    for verdict, names in NAMES.items():
+        beside = BESIDE[verdict].split()
+        for k, name in enumerate(names.split()):
+            sites = [name]
+            for word in (beside[(k + step) % len(beside)] for step in (0, 5, 10)):
+                sites += [f"{name}-{word}", f"{word}-{name}", f"{name}{word}"]
+            for j, site in enumerate(sites):
+                host = SUBDOMAINS[(k + j) % len(SUBDOMAINS)] + site + SUFFIXES[(k // 4 + j) % len(SUFFIXES)]
+                rows.append((verdict, host, PATHS[(k + 2 * j) % len(PATHS)]))
+    return rows
 
 
 def host_of(url: Column) -> Column:
@@ -122,34 +172,37 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def _grams(text: Column, mark: str) -> Column:
-    """Character n-grams of a text with its ends marked; ``mark`` keeps host and path apart."""
-    bounded = F.concat(F.lit("^"), text, F.lit("$"))
-    length = F.char_length(bounded)
+def _grams(text: Column, mark: str, end: str) -> Column:
+    """Character n-grams of a text with its ends marked; ``mark`` keeps host and path apart.
 
-    def grams(n: int) -> Column:
-        starts = F.when(length >= n, F.sequence(F.lit(1), length - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.concat(F.lit(mark), F.substring(bounded, i, F.lit(n))))
+    An end looks like a border inside, so that a name gives the same n-grams with a subdomain and without.
+    """
+    def grams(letters: Column, n: int) -> Column:
+        last = F.size(letters) - n + 1
+        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(F.lit(mark), F.array_join(F.slice(letters, i, F.lit(n)), "")))
 
-    return F.concat(*map(grams, GRAMS))
+    # Parts of a list are found at once, those of a long string by counting from its beginning.
+    letters = F.regexp_extract_all(F.concat(F.lit(end), text, F.lit(end)), F.lit("(?s)."), F.lit(0))
+    return bind(letters, lambda x: F.concat(*[grams(x, n) for n in GRAMS]))
 
 
 def with_grams(frame: DataFrame) -> DataFrame:
     lower = F.lower(F.col("path"))
-    return frame.withColumn("_grams", F.concat(_grams(F.col("host"), "h:"), _grams(lower, "p:")))
+    return frame.withColumn("_grams", F.concat(_grams(F.col("host"), "h:", "."), _grams(lower, "p:", "/")))
 
 
-def train(spark: SparkSession, labelled=LABELLED) -> PipelineModel:
-    """Fit the regression on the labelled URLs; 1 is block."""
+def train(spark: SparkSession, labelled: list[tuple[str, str, str]] | None = None) -> PipelineModel:
+    """Fit the regression on labelled URLs (verdict, host, path); 1 is block."""
     rows = [
-        (line.split("/", 1)[0], "/" + line.split("/", 1)[1], float(verdict == "block"))
-        for verdict, lines in labelled.items() for line in lines.split()
+        (host, path, float(verdict == "block"), 1.0 if verdict == "block" else ALLOW_WEIGHT)
+        for verdict, host, path in labelled or labelled_urls()
     ]
-    table = with_grams(spark.createDataFrame(rows, "host string, path string, label double").coalesce(1))
+    table = with_grams(spark.createDataFrame(rows, "host string, path string, label double, weight double").coalesce(1))
     hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=FEATURES, binary=True)
     regression = LogisticRegression(
-        featuresCol="_features", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class",
-        maxIter=50, regParam=0.05, standardization=False,
+        featuresCol="_features", weightCol="weight", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class",
+        maxIter=100, regParam=REGULARISATION, standardization=False,
     )
     return PipelineModel([hashing, regression.fit(hashing.transform(table))])
 

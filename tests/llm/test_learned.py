@@ -94,6 +94,32 @@ def test_url_model_learns(spark):
     assert all(found[k] >= 0.5 for k in range(3)) and all(found[k] < 0.5 for k in range(3, 6)), found
 
 
+def test_url_model_beside_unseen_words(spark):
+    """Names beside words that no training row has, and sites whose names no row teaches."""
+    rows = [
+        (verdict, host) for verdict, names in urls.NAMES.items() for name in names.split()
+        for host in (f"{name}-zone.example.org", f"www.super-{name}.example.net", f"{name}.zenith.example.com")
+    ]
+    plain = ("adelaide casimir cracow camden paradise telescope microbe granite cathedral orchestra marathon sculpture dinosaur"
+             " lighthouse vineyard umbrella chocolate saxophone sussex wintergreen spinoza").split()
+    rows += [("plain", f"{sub}{name}.example.org") for name in plain for sub in ("", "www.", "m.")]
+    taught = {host for _, host, _ in urls.labelled_urls()}
+    assert not taught & {host for _, host in rows}
+    frame = spark.createDataFrame([(k, f"http://{host}/de/19") for k, (_, host) in enumerate(rows)], "page_id bigint, url string")
+    found = {r.page_id: r.score >= 0.5 for r in urls.judge(frame, urls.train(spark)).collect()}
+    share = {kind: np.mean([found[k] for k, row in enumerate(rows) if row[0] == kind]) for kind in ("block", "allow", "plain")}
+    assert share["block"] >= 0.7 and share["allow"] <= 0.01 and share["plain"] <= 0.05, share
+
+
+def test_both_verdicts_look_alike():
+    """Subdomains, suffixes and paths tell nothing of the verdict of the names."""
+    named = urls.labelled_urls()[sum(len(x.split()) for x in urls.LABELLED.values()):]
+    for kind in ("block", "allow"):
+        of = [(host, path) for verdict, host, path in named if verdict == kind]
+        assert {path for _, path in of} == set(urls.PATHS)
+        assert all(any(host.endswith(s) for host, _ in of) for s in urls.SUFFIXES)
+
+
 # -- licenses ---------------------------------------------------------------------------------
 
 def test_license_scan(spark):
