@@ -118,8 +118,8 @@ NAMES = {
     """,
 }
 BESIDE = {
-    "block": "win free online now 4u best cheap hot live lucky king x farm bonus deals pro store",
-    "allow": "home free online new my best north live house city old green club shop farm x store",
+    "block": "online now 4u best hot live lucky king bonus deals pro store club play direct vip super24",
+    "allow": "home free online new my best north live house city old green club shop play store direct",
 }
 # What hosts and paths of either verdict look like.
 SUBDOMAINS = ("", "www.", "m.", "blog.")
