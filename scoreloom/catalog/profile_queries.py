@@ -109,7 +109,8 @@ SELECT bin, CAST(row_number() OVER (ORDER BY bin) - 1 AS INTEGER) AS bin_order,
 def _levels(rows: DataFrame, exclude=("PERF", binning.TYPE)) -> DataFrame:
     tagged = rows.withColumn(binning.TYPE, F.lit(binning.TRAIN))
     bins = binning.fit_bins(tagged, exclude=exclude)
-    summary = binning.categorical_summary(binning.bin_counts(tagged, bins), bins)
+    counts = stored(binning.bin_counts(tagged, bins), "bin_counts")
+    summary = binning.categorical_summary(counts, bins)
     return rounded(summary.select("bin", "bin_order", "count", "bad", "cumulative_bad", "cumulative_good", "iv_1", "iv"))
 
 

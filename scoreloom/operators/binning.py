@@ -434,22 +434,23 @@ def numerical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled", boun
 def categorical_summary(counts: DataFrame, bins: Bins, scope: str = "pooled", rows_per_range: int | None = None) -> DataFrame:
     """One row per level, in level order.
 
-    A variable may have as many levels as rows, so running sums go over ranges of levels and totals
-    through a join; no task gets all levels of a variable.
+    A variable may have as many levels as rows, so running sums go over ranges of levels. Totals and IV
+    are one row per text column of the schema, so they are broadcast: a join that deals the levels by
+    variable would put all levels of a variable into one task.
     """
     levels = pooled(counts, scope).where(F.col("variable").isin(*bins.categorical)).withColumns(
         {"good": F.col("count") - F.col("bad"), "one": F.lit(1)}
     )
     placed, points = _level_place(levels, rows_per_range)
     running = ranges.running_totals(placed, ["variable"], "place", ["one", "bad", "good"], points, ties=["bin"])
-    totals = levels.groupBy("variable").agg(*[F.sum(n).alias(f"whole_{n}") for n in ("count", "bad", "good")])
-    summed = running.join(totals, "variable").withColumns({
+    totals = placed.groupBy("variable").agg(*[F.sum(n).alias(f"whole_{n}") for n in ("count", "bad", "good")])
+    summed = running.join(F.broadcast(totals), "variable").withColumns({
         "bin_order": (F.col("running_one") - 1).cast("int"), "bin_class": F.col("bin"),
         "cumulative_bad": F.col("running_bad"), "cumulative_good": F.col("running_good"),
     })
     shares = _shares(summed)
     iv = shares.groupBy("variable").agg(F.sum("iv_1").alias("iv"))
-    return shares.join(iv, "variable").select(*SUMMARY_COLUMNS)
+    return shares.join(F.broadcast(iv), "variable").select(*SUMMARY_COLUMNS)
 
 
 def binning_summary(counts: DataFrame, bins: Bins, scope: str = "pooled") -> DataFrame:

@@ -386,6 +386,27 @@ def test_one_strange_level_does_not_join_the_ranges(spark):
     assert [r["bin_order"] for r in many] == list(range(4003))
 
 
+def test_no_task_gets_all_levels_of_a_variable(spark):
+    """The summary of one wide variable comes from many tasks, and no join deals its levels by variable."""
+    rows = [(f"customer-{i:06d}", i % 3 % 2, "TRAIN") for i in range(4000)]
+    frame = spark.createDataFrame(rows, "wide string, PERF int, data_type string")
+    bins = binning.fit_bins(frame)
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        summary = binning.categorical_summary(binning.bin_counts(frame, bins), bins, rows_per_range=200)
+        sizes = [r["count"] for r in summary.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and len(sizes) > 5 and max(sizes) < 2000
+
+
 def test_running_totals_and_positions(spark):
     rows = [(g, float(v), v % 5 + 1) for g in ("a", "b") for v in range(200)]
     frame = spark.createDataFrame(rows, "g string, v double, n bigint")
