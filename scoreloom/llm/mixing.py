@@ -65,7 +65,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int =
     rounded; whole epochs of the source come first, and what is left is cut from the documents in
     the order of their keys, the last of them in part, so the words taken add up to the budget.
     Keys are MD5 of seed and doc_id, equal for each run. Sources are split into ranges of keys of
-    about ``ROWS_PER_BUCKET`` rows, so a source with a third of all rows is many small groups.
+    about ``ROWS_PER_BUCKET`` rows; sums of ranges tell the range each source is cut in, and only the
+    sizes of its rows are put in order. What a row is taken follows from the document its source is
+    cut at, so texts and further columns are not shuffled.
 
     A null text is empty (size 0, taken 0); rows with a null doc_id are ordered by their text;
     repeated rows count each; a null source is a source; an empty table gives no rows; further
@@ -73,6 +75,34 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int =
     """
     narrow = ["doc_id", "source", word_count(F.col("text")).alias("size"), _key(seed).alias("key")]
     sized = stored(docs.select(*narrow), "mix_sizes")
+    cuts = _cuts(sized, weights, most_epochs)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    # No hint: the cuts are one stored row per source, so Spark knows their size and broadcasts few.
+    joined = (docs.select(*narrow, row) if carry else sized).join(cuts, F.col("source").eqNullSafe(F.col("cut_source")))
+
+    mine, cut = F.struct("key", "doc_id", "size"), F.struct("cut_key", "cut_id", "cut_size")
+    tied = mine.eqNullSafe(cut) & (F.col("copies") > 1)
+    whole = F.when(mine < cut, F.col("size")).when(mine.eqNullSafe(cut), F.col("room")).otherwise(F.lit(0))
+    if cuts.where(F.col("copies") > 1).isEmpty():
+        parts = joined.withColumn("part", whole)
+    else:
+        content = F.md5(F.to_json("row")) if carry else F.col("key")
+        nth = F.row_number().over(Window.partitionBy("cut_source").orderBy(content)) - 1
+        left = F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - nth * F.col("size")))
+        tied = F.coalesce(tied, F.lit(False))
+        parts = joined.where(~tied).withColumn("part", whole).unionByName(joined.where(tied).withColumn("part", left))
+    return parts.select(
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("epochs") * F.col("size") + F.col("part")).cast("bigint").alias("taken"), *(["row"] if carry else []),
+    )
+
+
+def _cuts(sized: DataFrame, weights, most_epochs: int) -> DataFrame:
+    """Per source its size, target and whole epochs, and the document that the rest of its budget ends in.
+
+    Documents before that one, by key, doc_id and size, are in the rest as a whole, those after it not at all, and
+    ``room`` words are left for it and the rows equal to it (``copies`` in all). A source without words has none.
+    """
     buckets = max(1, -(-sized.count() // ROWS_PER_BUCKET))
     place = F.conv(F.substring("key", 1, KEY_DIGITS), 16, 10).cast("double") / float(16**KEY_DIGITS)
     placed = sized.withColumn("bucket", F.floor(place * buckets))
@@ -87,26 +117,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: str = "mix", most_epochs: int =
     ).withColumn("rest", F.col("budget") - F.col("epochs") * size)
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(running), F.lit(0)))
-    starts = starts.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
-        F.col("s.source").alias("b_source"), F.col("s.bucket").alias("b_bucket"),
-        "bucket_start", "source_size", "target", "epochs", "rest",
+    room = F.col("rest") - F.col("bucket_start")
+    ends = (
+        starts.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")))
+        .where((room >= 0) & (room < F.col("bucket_size")))
+        .select(F.col("s.source").alias("end_source"), F.col("bucket").alias("end_bucket"), room.alias("end_room"))
     )
 
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
-    before = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    if carry:
-        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-        placed = docs.select(*narrow, row).withColumn("bucket", F.floor(place * buckets))
-    joined = placed.withColumn("before", before).join(
-        starts, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket"))
-    )
-    part = F.greatest(
-        F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("bucket_start") - F.col("before"))
-    )
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + part).cast("bigint").alias("taken"), *(["row"] if carry else []),
+    # Equal rows are one row here, so that copies of a document make no group large.
+    ordered = (
+        placed.join(ends, F.col("source").eqNullSafe(F.col("end_source")) & (F.col("bucket") == F.col("end_bucket")))
+        .groupBy("end_source", "end_room", "key", "doc_id", "size").agg(F.count(F.lit(1)).alias("copies"))
     )
+    inside = Window.partitionBy("end_source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    words = F.col("copies") * F.col("size")
+    room = F.col("end_room") - F.coalesce(F.sum(words).over(inside), F.lit(0))
+    last = ordered.withColumn("words", words).withColumn("room", room).where((F.col("room") >= 0) & (F.col("room") < F.col("words")))
+    found = targets.join(last, F.col("source").eqNullSafe(F.col("end_source")), "left")
+    return stored(found.select(
+        F.col("source").alias("cut_source"), "source_size", "target", "epochs",
+        F.col("key").alias("cut_key"), F.col("doc_id").alias("cut_id"), F.col("size").alias("cut_size"), "copies", "room",
+    ), "mix_cuts")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, seed: str = "mix") -> DataFrame:

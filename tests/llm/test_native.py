@@ -55,6 +55,46 @@ def test_mix(spark, monkeypatch):
     assert mixing.mix(frame.limit(0)).collect() == []
 
 
+def cut_in_order(rows):
+    """(doc_id, source, size, taken) by one running sum a source over rows in the order of their keys."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    by_source = {}
+    for i, t, _, s in rows:
+        key = md5(f"mix:{i if i is not None else md5(t or '')}")
+        by_source.setdefault(s, []).append((key, i is not None, i or 0, size(t)))
+    want = shares({s: sum(r[3] for r in found) for s, found in by_source.items()})
+    out = []
+    for s, found in by_source.items():
+        total = sum(r[3] for r in found)
+        epochs, rest = divmod(int(want[s] + 0.5), total) if total else (0, 0)
+        for _, known, i, n in sorted(found):
+            out.append((i if known else None, s, n, epochs * n + max(0, min(n, rest))))
+            rest -= n
+    return sorted(out, key=repr)
+
+
+def test_mix_cuts_without_shuffling_texts(spark, monkeypatch):
+    """Sources cut inside copies of one document, and a plan that moves no row's text."""
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 16)
+    rng = random.Random(5)
+    rows = [(i, " ".join("w" * rng.randint(0, 9)), "en", rng.choice("abcde")) for i in range(300)]
+    rows += [(7000, f"same size but text {k % 3}", "en", "copies") for k in range(50)]
+    rows += [(None, "no number at all", "en", "a")] * 20 + [(None, None, None, None), (8000, "", "en", "blank")]
+    frame = spark.createDataFrame(rows, DOCS)
+    rows_of = lambda df: sorted(((r.doc_id, r.source, r.size, r.taken) for r in df.collect()), key=repr)
+    assert rows_of(mixing.mix(frame)) == cut_in_order(rows)
+    mixed = mixing.mixed(frame)
+    kept = sorted(map(tuple, mixed.collect()), key=repr)
+    assert kept == sorted(map(tuple, mixing.mixed(frame.repartition(5)).collect()), key=repr)
+    assert sorted(((r[0], r[3], r[4], r[6]) for r in kept), key=repr) == [r for r in cut_in_order(rows) if r[3] > 0]
+
+    single = spark.createDataFrame(rows[:300], DOCS)
+    assert rows_of(mixing.mix(single)) == cut_in_order(rows[:300])
+    plan = mixing.mixed(single)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+
+
 # -- chat -------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("record,want", [
